@@ -178,3 +178,15 @@ def exact_ratio(num: str | Column, den: str | Column, scale: int = 2) -> Column:
 
 def as_double(c: str | Column) -> Column:
     return col_(c).cast("double")
+
+
+def exact_pct(num: str | Column, den: str | Column, places: int = 2) -> Column:
+    """``round(num / den * 100, places)`` for integer counts, HALF_UP on exact decimals, as double."""
+    d = col_(den).cast("decimal(20,0)")
+    q = F.when(d != 0, col_(num).cast("decimal(20,0)") / d)
+    return F.round(q * 100, places).cast("double")
+
+
+def exact_round_ratio(num: str | Column, den: str | Column, places: int = 2, scale: int = 0) -> Column:
+    """``round(num / den, places)`` HALF_UP on exact decimals, as double."""
+    return F.round(exact_ratio(num, den, scale), places).cast("double")

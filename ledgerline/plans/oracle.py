@@ -230,7 +230,153 @@ FROM s WHERE na > 0 AND nb > 0
 }
 
 
+# --------------------------------------------------------------------------- web events
+
+WEB = """
+we AS (
+  SELECT event_id, 'c' || CAST(user_id AS VARCHAR) AS cookie_id,
+         'c' || CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS visit_id,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) % 13 + 1 AS page_id,
+         CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3
+                         WHEN 'signup' THEN 4 WHEN 'error' THEN 5 END AS event_type,
+         ts AS event_time
+  FROM events
+),
+users_ AS (SELECT DISTINCT user_id // 2 AS user_id, 'c' || CAST(user_id AS VARCHAR) AS cookie_id FROM events),
+ei AS (SELECT * FROM (VALUES (1, 'Page View'), (2, 'Add to Cart'), (3, 'Purchase'), (4, 'Ad Impression'),
+                             (5, 'Ad Click')) t(event_type, event_name)),
+ph AS (SELECT * FROM (VALUES (1, 'Home Page', NULL, NULL), (2, 'All Products', NULL, NULL),
+         (3, 'Salmon', 'Fish', 1), (4, 'Kingfish', 'Fish', 2), (5, 'Tuna', 'Fish', 3),
+         (6, 'Russian Caviar', 'Luxury', 4), (7, 'Black Truffle', 'Luxury', 5),
+         (8, 'Abalone', 'Shellfish', 6), (9, 'Lobster', 'Shellfish', 7), (10, 'Crab', 'Shellfish', 8),
+         (11, 'Oyster', 'Shellfish', 9), (12, 'Checkout', NULL, NULL), (13, 'Confirmation', NULL, NULL))
+       t(page_id, page_name, product_category, product_id)),
+ci AS (SELECT * FROM (VALUES ('BOGOF - Fishing For Compliments', DATE '2024-01-01', DATE '2024-01-10'),
+         ('25% Off - Living The Lux Life', DATE '2024-01-08', DATE '2024-01-15'),
+         ('Half Off - Treat Your Shellf(ish)', DATE '2024-01-20', DATE '2024-01-31'))
+       t(campaign_name, start_date, end_date))
+"""
+
+VISIT_SUMMARY = _with(WEB) + """
+, e AS (SELECT we.*, u.user_id, ei.event_name, ph.page_name
+        FROM we JOIN users_ u USING (cookie_id) JOIN ei USING (event_type) LEFT JOIN ph USING (page_id))
+, v AS (
+  SELECT visit_id, user_id, CAST(min(event_time) AS DATE) AS earliest_visit,
+         string_agg(CASE WHEN event_name = 'Add to Cart' THEN page_name END, ', ' ORDER BY event_time, event_id)
+           AS cart_products,
+         count(CASE WHEN event_name = 'Page View' THEN 1 END) AS page_view_count,
+         count(CASE WHEN event_name = 'Add to Cart' THEN 1 END) AS add_to_cart_count,
+         max(CASE WHEN event_name = 'Purchase' THEN 1 ELSE 0 END) AS purchase_flag,
+         count(CASE WHEN event_name = 'Ad Impression' THEN 1 END) AS ad_impression_count
+  FROM e GROUP BY visit_id, user_id
+)
+, vs AS (SELECT v.*, ci.campaign_name FROM v LEFT JOIN ci ON v.earliest_visit BETWEEN ci.start_date AND ci.end_date)
+"""
+
+WEB_SQL: dict[str, str] = {
+    "cb1_user_count": _with(WEB) + "SELECT count(DISTINCT user_id) AS n_users FROM users_",
+    "cb2_cookies_per_user": _with(WEB) + f"""
+, a AS (SELECT user_id, count(cookie_id) AS num_cookies FROM users_ GROUP BY 1)
+, b AS (SELECT CAST(sum(num_cookies) AS BIGINT) AS total_cookies, count(DISTINCT user_id) AS n_users FROM a)
+SELECT total_cookies, n_users, {rhu_double('total_cookies', 'n_users', 2, 1, 0)} AS avg_cookie_count FROM b
+""",
+    "cb3_visits_per_month": _with(WEB) + """
+SELECT CAST(date_trunc('month', event_time) AS DATE) AS event_month, count(DISTINCT visit_id) AS unique_visit_count
+FROM we WHERE cookie_id IN (SELECT cookie_id FROM users_) GROUP BY 1
+""",
+    "cb3_visits_per_day": _with(WEB) + """
+SELECT CAST(date_trunc('day', event_time) AS DATE) AS event_day, count(DISTINCT visit_id) AS unique_visit_count
+FROM we WHERE cookie_id IN (SELECT cookie_id FROM users_) GROUP BY 1
+""",
+    "cb4_events_per_type": _with(WEB) + """
+SELECT we.event_type, ei.event_name, count(we.event_type) AS n_events
+FROM we JOIN ei ON we.event_type = ei.event_type GROUP BY 1, 2 ORDER BY 1
+""",
+    "cb5_event_share": _with(WEB) + f"""
+, a AS (SELECT ei.event_name, count(we.visit_id) AS total_visits_per_event
+        FROM we JOIN ei ON we.event_type = ei.event_type GROUP BY 1)
+, t AS (SELECT CAST(sum(total_visits_per_event) AS BIGINT) AS total_visits FROM a)
+SELECT a.event_name, a.total_visits_per_event, t.total_visits,
+       {rhu_double('a.total_visits_per_event', 't.total_visits', 4, 100, 0)} AS perc_visit
+FROM a, t
+""",
+    "cb6_purchase_visit_pct": _with(WEB) + """
+SELECT (SELECT count(DISTINCT we.visit_id) FROM we JOIN ei ON we.event_type = ei.event_type
+        WHERE ei.event_name = 'Purchase') * 100 // (SELECT count(DISTINCT visit_id) FROM we)
+       AS purchase_visit_pct
+""",
+    "cb7_purchase_pct_by_flags": _with(WEB) + f"""
+, a AS (SELECT we.visit_id, sum(CASE WHEN event_name = 'Purchase' THEN 1 ELSE 0 END) AS purchase_event
+        FROM we JOIN ei ON ei.event_type = we.event_type GROUP BY 1)
+SELECT {rhu_double('sum(purchase_event)', 'count(*)', 4, 100, 0)} AS purchase_perc FROM a
+""",
+    "cb8_checkout_no_purchase_pct": _with(WEB) + f"""
+, a AS (SELECT we.visit_id,
+          sum(CASE WHEN ei.event_name = 'Page View' AND ph.page_name = 'Checkout' THEN 1 ELSE 0 END) AS checkout_count,
+          sum(CASE WHEN ei.event_name = 'Purchase' AND ph.page_name = 'Confirmation' THEN 1 ELSE 0 END) AS purchase_count
+        FROM we JOIN ei ON we.event_type = ei.event_type JOIN ph ON we.page_id = ph.page_id GROUP BY 1)
+SELECT {rhu_double('sum(CASE WHEN checkout_count = 1 AND purchase_count = 0 THEN 1 ELSE 0 END)', 'count(*)', 4, 100, 0)}
+       AS perc_no_purchase FROM a
+""",
+    "cb9_top3_pages": _with(WEB) + """
+SELECT ph.page_name, count(*) AS n_views FROM we JOIN ph ON we.page_id = ph.page_id
+WHERE we.event_type = 1 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3
+""",
+    "cb10_visit_summary": VISIT_SUMMARY + "SELECT * FROM vs",
+    "cb11_category_views_adds": _with(WEB) + """
+SELECT ph.product_category,
+       count(CASE WHEN ei.event_name = 'Page View' THEN 1 END) AS page_views,
+       count(CASE WHEN ei.event_name = 'Add to Cart' THEN 1 END) AS cart_adds
+FROM we JOIN ei USING (event_type) JOIN ph USING (page_id)
+WHERE ph.product_category IS NOT NULL GROUP BY 1
+""",
+    "cb11_product_funnel": _with(WEB) + f"""
+, e AS (SELECT we.*, ei.event_name FROM we JOIN ei USING (event_type))
+, b AS (SELECT visit_id, max(CASE WHEN event_name = 'Purchase' THEN 1 ELSE 0 END) AS bought FROM e GROUP BY 1)
+, g AS (SELECT ph.page_name,
+               count(CASE WHEN event_name = 'Page View' THEN 1 END) AS page_views,
+               count(CASE WHEN event_name = 'Add to Cart' THEN 1 END) AS cart_adds,
+               count(CASE WHEN event_name = 'Add to Cart' AND bought = 1 THEN 1 END) AS purchases
+        FROM e JOIN ph USING (page_id) JOIN b USING (visit_id)
+        WHERE ph.product_category IS NOT NULL GROUP BY 1)
+SELECT page_name, page_views, cart_adds, purchases, cart_adds - purchases AS abandoned,
+       {rhu_double('cart_adds', 'page_views', 4, 100, 0)} AS view_to_cart_pct,
+       {rhu_double('purchases', 'cart_adds', 4, 100, 0)} AS cart_to_purchase_pct
+FROM g
+""",
+    "cb11_campaign_effect": VISIT_SUMMARY + f"""
+SELECT campaign_name, count(*) AS visits,
+       CAST(sum(page_view_count) AS DOUBLE) / count(*) AS avg_page_views,
+       CAST(sum(add_to_cart_count) AS DOUBLE) / count(*) AS avg_cart_adds,
+       CAST(sum(ad_impression_count) AS DOUBLE) / count(*) AS avg_impressions,
+       {rhu_double('sum(purchase_flag)', 'count(*)', 4, 100, 0)} AS purchase_rate_pct
+FROM vs GROUP BY 1
+""",
+    "cb_visit_funnel": _with(WEB) + f"""
+, e AS (SELECT we.visit_id, ei.event_name, ph.page_name, ph.product_category
+        FROM we JOIN ei USING (event_type) LEFT JOIN ph USING (page_id))
+, v AS (SELECT visit_id,
+          max(CASE WHEN event_name = 'Page View' AND product_category IS NOT NULL THEN 1 ELSE 0 END) AS product_view,
+          max(CASE WHEN event_name = 'Add to Cart' THEN 1 ELSE 0 END) AS cart_add,
+          max(CASE WHEN event_name = 'Page View' AND page_name = 'Checkout' THEN 1 ELSE 0 END) AS checkout_view,
+          max(CASE WHEN event_name = 'Purchase' THEN 1 ELSE 0 END) AS purchase
+        FROM e GROUP BY 1)
+, t AS (SELECT count(*) AS k, sum(product_view) AS s1, sum(cart_add) AS s2, sum(checkout_view) AS s3,
+               sum(purchase) AS s4 FROM v)
+, s AS (SELECT 'product_view' AS step, 1 AS position, s1 AS n, k AS prev, k FROM t
+        UNION ALL SELECT 'cart_add', 2, s2, s1, k FROM t
+        UNION ALL SELECT 'checkout_view', 3, s3, s2, k FROM t
+        UNION ALL SELECT 'purchase', 4, s4, s3, k FROM t)
+SELECT step, position, CAST(n AS BIGINT) AS n_keys,
+       {rhu_double('n', 'k', 4, 100, 0)} AS pct_of_keys,
+       100.0 - {rhu_double('n', 'prev', 4, 100, 0)} AS drop_off_pct
+FROM s
+""",
+}
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(WEEKLY_SALES_SQL)
+    out.update(WEB_SQL)
     return out

@@ -114,3 +114,74 @@ def clean_weekly_sales(raw: DataFrame) -> DataFrame:
 
 def clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_weekly_sales(weekly_sales(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- web events
+
+# The event and page lookups of the web-shop case, and campaigns placed
+# inside the test data's month (two of them overlap on purpose).
+EVENT_TYPE_BY_KIND = {"view": 1, "click": 2, "purchase": 3, "signup": 4, "error": 5}
+EVENT_NAMES = [
+    (1, "Page View"),
+    (2, "Add to Cart"),
+    (3, "Purchase"),
+    (4, "Ad Impression"),
+    (5, "Ad Click"),
+]
+PAGES = [
+    (1, "Home Page", None, None),
+    (2, "All Products", None, None),
+    (3, "Salmon", "Fish", 1),
+    (4, "Kingfish", "Fish", 2),
+    (5, "Tuna", "Fish", 3),
+    (6, "Russian Caviar", "Luxury", 4),
+    (7, "Black Truffle", "Luxury", 5),
+    (8, "Abalone", "Shellfish", 6),
+    (9, "Lobster", "Shellfish", 7),
+    (10, "Crab", "Shellfish", 8),
+    (11, "Oyster", "Shellfish", 9),
+    (12, "Checkout", None, None),
+    (13, "Confirmation", None, None),
+]
+CAMPAIGNS = [
+    ("BOGOF - Fishing For Compliments", "2024-01-01", "2024-01-10"),
+    ("25% Off - Living The Lux Life", "2024-01-08", "2024-01-15"),
+    ("Half Off - Treat Your Shellf(ish)", "2024-01-20", "2024-01-31"),
+]
+
+
+def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event table: event_id, cookie_id, visit_id (cookie x day), page_id (1-13 from
+    ``props.k``), event_type (1-5), event_time."""
+    e = load_table(spark, sf_dir, "events")
+    cookie = F.concat(F.lit("c"), F.col("user_id").cast("string"))
+    return e.select(
+        "event_id",
+        cookie.alias("cookie_id"),
+        F.concat(cookie, F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("visit_id"),
+        (F.get_json_object("props", "$.k").cast("int") % 13 + 1).alias("page_id"),
+        _case("event_type", EVENT_TYPE_BY_KIND).cast("int").alias("event_type"),
+        F.col("ts").alias("event_time"),
+    )
+
+
+def web_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users and their cookies: two cookies per user (user = source user_id div 2)."""
+    e = load_table(spark, sf_dir, "events")
+    return e.select(
+        F.expr("user_id div 2").alias("user_id"),
+        F.concat(F.lit("c"), F.col("user_id").cast("string")).alias("cookie_id"),
+    ).distinct()
+
+
+def event_names(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(EVENT_NAMES, "event_type int, event_name string")
+
+
+def page_hierarchy(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(PAGES, "page_id int, page_name string, product_category string, product_id int")
+
+
+def campaigns(spark: SparkSession) -> DataFrame:
+    df = spark.createDataFrame(CAMPAIGNS, "campaign_name string, start_date string, end_date string")
+    return df.select("campaign_name", F.to_date("start_date").alias("start_date"), F.to_date("end_date").alias("end_date"))
