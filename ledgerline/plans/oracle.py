@@ -375,8 +375,99 @@ FROM s
 }
 
 
+# --------------------------------------------------------------------------- trips
+
+TRIPS = """
+raw_trips AS (
+  SELECT o.o_orderdate + to_hours(CAST(l.l_quantity AS INTEGER) % 24) AS started_at,
+         l.l_shipdate AS ended_at,
+         CASE l.l_linestatus WHEN 'O' THEN 'member' WHEN 'F' THEN 'casual' END AS member_casual,
+         CASE l.l_returnflag WHEN 'A' THEN 'classic_bike' WHEN 'N' THEN 'docked_bike'
+                             WHEN 'R' THEN 'electric_bike' END AS rideable_type,
+         'Station ' || CAST(l.l_suppkey AS VARCHAR) AS start_station_name,
+         'Dock ' || CAST(l.l_partkey % 50 AS VARCHAR) AS end_station_name
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+),
+trips AS (
+  SELECT *, CAST(month(started_at) AS INTEGER) AS month, CAST(year(started_at) AS INTEGER) AS year,
+         date_diff('second', started_at, ended_at) AS ride_length_sec,
+         CAST(isodow(started_at) - 1 AS INTEGER) AS day_of_week,
+         strftime(started_at, '%H') AS time_stamp_hour
+  FROM (SELECT DISTINCT * FROM raw_trips)
+  WHERE date_diff('second', started_at, ended_at) >= 0
+)
+"""
+
+DAY_CASE = ("CASE {c} WHEN 0 THEN 'Monday' WHEN 1 THEN 'Tuesday' WHEN 2 THEN 'Wednesday' WHEN 3 THEN 'Thursday' "
+            "WHEN 4 THEN 'Friday' WHEN 5 THEN 'Saturday' WHEN 6 THEN 'Sunday' END")
+
+
+def _mode_sql(value: str, name: str) -> str:
+    """Mode per (member_casual, year, month) of one column; ties to the smallest value as text."""
+    return f"""
+{name} AS (
+  SELECT member_casual, year, month, v AS top_{value}, n AS n_{value} FROM (
+    SELECT *, row_number() OVER (PARTITION BY member_casual, year, month ORDER BY n DESC, v) AS rn
+    FROM (SELECT member_casual, year, month, CAST({value} AS VARCHAR) AS v, count(*) AS n
+          FROM trips WHERE {value} IS NOT NULL GROUP BY 1, 2, 3, 4))
+  WHERE rn = 1
+)"""
+
+
+TRIPS_SQL: dict[str, str] = {
+    "bk1_clean_trips": _with(TRIPS) + """
+SELECT started_at, ended_at, member_casual, rideable_type, start_station_name, end_station_name,
+       month, year, ride_length_sec, day_of_week FROM trips
+""",
+    "bk2_favourite_day": _with(TRIPS, _mode_sql("day_of_week", "m")) + f"""
+SELECT member_casual, year, month, {DAY_CASE.format(c='CAST(top_day_of_week AS INTEGER)')} AS favourite_day,
+       n_day_of_week AS n_rides FROM m
+""",
+    "bk3_ride_length": _with(TRIPS) + """
+SELECT member_casual, year, month, avg(ride_length_sec) AS avg_ride_length_sec,
+       CAST(sum(ride_length_sec) AS BIGINT) AS total_ride_length_sec
+FROM trips GROUP BY 1, 2, 3
+""",
+    "bk4_top_stations": _with(TRIPS, _mode_sql("start_station_name", "s"), _mode_sql("end_station_name", "e")) + """
+SELECT s.member_casual, s.year, s.month, top_start_station_name, n_start_station_name,
+       top_end_station_name, n_end_station_name
+FROM s JOIN e USING (member_casual, year, month)
+""",
+    "bk5_peak_hour": _with(TRIPS, _mode_sql("time_stamp_hour", "h")) + """
+SELECT member_casual, year, month, top_time_stamp_hour, n_time_stamp_hour FROM h
+""",
+    "bk6_monthly_summary": _with(
+        TRIPS,
+        _mode_sql("day_of_week", "d"),
+        _mode_sql("start_station_name", "s"),
+        _mode_sql("end_station_name", "e"),
+        _mode_sql("time_stamp_hour", "h"),
+    ) + f"""
+, l AS (SELECT member_casual, year, month, avg(ride_length_sec) AS avg_ride_length_sec,
+               CAST(sum(ride_length_sec) AS BIGINT) AS total_ride_length_sec FROM trips GROUP BY 1, 2, 3)
+SELECT l.year, l.month, l.member_casual AS membership,
+       {DAY_CASE.format(c='CAST(d.top_day_of_week AS INTEGER)')} AS favourite_day,
+       avg_ride_length_sec, total_ride_length_sec,
+       top_start_station_name AS top_start_station, top_end_station_name AS top_end_station,
+       top_time_stamp_hour || ':00' AS peak_hour_time, n_time_stamp_hour AS n_at_peak_hour
+FROM l JOIN d USING (member_casual, year, month) JOIN s USING (member_casual, year, month)
+     JOIN e USING (member_casual, year, month) JOIN h USING (member_casual, year, month)
+ORDER BY 1, 2, 3
+""",
+    "bk7_ride_types": _with(TRIPS) + """
+SELECT member_casual, rideable_type, count(*) AS count FROM trips
+WHERE member_casual IS NOT NULL AND rideable_type IS NOT NULL GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2
+""",
+    "bk8_rides_per_hour": _with(TRIPS) + """
+SELECT member_casual, time_stamp_hour, count(*) AS count FROM trips
+WHERE member_casual IS NOT NULL AND time_stamp_hour IS NOT NULL GROUP BY 1, 2 ORDER BY 1, 2
+""",
+}
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(WEEKLY_SALES_SQL)
     out.update(WEB_SQL)
+    out.update(TRIPS_SQL)
     return out

@@ -185,3 +185,26 @@ def page_hierarchy(spark: SparkSession) -> DataFrame:
 def campaigns(spark: SparkSession) -> DataFrame:
     df = spark.createDataFrame(CAMPAIGNS, "campaign_name string, start_date string, end_date string")
     return df.select("campaign_name", F.to_date("start_date").alias("start_date"), F.to_date("end_date").alias("end_date"))
+
+
+# --------------------------------------------------------------------------- trips
+
+# Rider type by line status, bike type by return flag.
+RIDER_BY_LINESTATUS = {"O": "member", "F": "casual"}
+BIKE_BY_RETURNFLAG = {"A": "classic_bike", "N": "docked_bike", "R": "electric_bike"}
+
+
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip rows: start = order date + (quantity mod 24) hours, end = ship date; about
+    half end before they start, which the cleaning step removes."""
+    li = load_table(spark, sf_dir, "lineitem")
+    o = load_table(spark, sf_dir, "orders")
+    j = li.join(o.select("o_orderkey", "o_orderdate"), li.l_orderkey == o.o_orderkey)
+    return j.select(
+        F.timestamp_add("HOUR", F.col("l_quantity").cast("int") % 24, F.col("o_orderdate")).alias("started_at"),
+        F.col("l_shipdate").alias("ended_at"),
+        _case("l_linestatus", RIDER_BY_LINESTATUS).alias("member_casual"),
+        _case("l_returnflag", BIKE_BY_RETURNFLAG).alias("rideable_type"),
+        F.concat(F.lit("Station "), F.col("l_suppkey").cast("string")).alias("start_station_name"),
+        F.concat(F.lit("Dock "), (F.col("l_partkey") % 50).cast("string")).alias("end_station_name"),
+    )
