@@ -470,4 +470,7 @@ def all_sql() -> dict[str, str]:
     out.update(WEEKLY_SALES_SQL)
     out.update(WEB_SQL)
     out.update(TRIPS_SQL)
+    from ledgerline.plans.oracle_orders import ORDERS_SQL
+
+    out.update(ORDERS_SQL)
     return out

@@ -208,3 +208,133 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Station "), F.col("l_suppkey").cast("string")).alias("start_station_name"),
         F.concat(F.lit("Dock "), (F.col("l_partkey") % 50).cast("string")).alias("end_station_name"),
     )
+
+
+# --------------------------------------------------------------------------- e-commerce
+
+# Order status by TPC-H status code.
+ORDER_STATUS_BY_CODE = {"F": "delivered", "O": "shipped", "P": "invoiced"}
+
+
+def ec_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the five timestamps: purchase (order date + key mod 24 h), approval
+    (purchase + customer mod 48 h), carrier (first ship date + 6 h), customer delivery
+    (last ship date + 30 h, delivered orders only), estimate (order date + 30 days)."""
+    o = load_table(spark, sf_dir, "orders")
+    li = load_table(spark, sf_dir, "lineitem")
+    ship = li.groupBy("l_orderkey").agg(
+        F.min("l_shipdate").alias("_first_ship"), F.max("l_shipdate").alias("_last_ship")
+    )
+    j = o.join(ship, o.o_orderkey == ship.l_orderkey, "left")
+    status = _case("o_orderstatus", ORDER_STATUS_BY_CODE)
+    return j.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        status.alias("order_status"),
+        F.timestamp_add("HOUR", F.col("o_orderkey") % 24, F.col("o_orderdate")).alias("order_purchase_timestamp"),
+        F.timestamp_add("HOUR", F.col("o_orderkey") % 24 + F.col("o_custkey") % 48, F.col("o_orderdate")).alias(
+            "order_approved_at"
+        ),
+        F.timestamp_add("HOUR", F.lit(6), F.col("_first_ship")).alias("order_delivered_carrier_date"),
+        F.when(status == "delivered", F.timestamp_add("HOUR", F.lit(30), F.col("_last_ship"))).alias(
+            "order_delivered_customer_date"
+        ),
+        F.timestamp_add("DAY", F.lit(30), F.col("o_orderdate")).alias("order_estimated_delivery_date"),
+    )
+
+
+def ec_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payment per line item: sequence = line number; type from return flag and
+    line status; instalments = quantity mod 10; value = extended price."""
+    li = load_table(spark, sf_dir, "lineitem")
+    ptype = (
+        F.when(F.col("l_returnflag") == "A", "credit_card")
+        .when(F.col("l_returnflag") == "N", "boleto")
+        .when(F.col("l_linestatus") == "O", "voucher")
+        .otherwise("debit_card")
+    )
+    return li.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("payment_sequential"),
+        ptype.alias("payment_type"),
+        (F.col("l_quantity").cast("int") % 10).alias("payment_installments"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("payment_value"),
+    )
+
+
+def ec_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load_table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("order_item_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("seller_id"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
+        F.col("l_tax").alias("freight_value"),
+        F.col("l_shipdate").alias("shipping_limit_date"),
+    )
+
+
+def ec_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products: category = part type + noun of the part name; sizes from ``p_size``;
+    the description length is missing for every tenth size (exercises ``dropna``)."""
+    p = load_table(spark, sf_dir, "part")
+    size = F.col("p_size")
+    return p.select(
+        F.col("p_partkey").alias("product_id"),
+        F.concat(F.lower("p_type"), F.lit("_"), F.split_part("p_name", F.lit(" "), F.lit(2))).alias(
+            "product_category_name"
+        ),
+        F.length("p_name").alias("product_name_lenght"),
+        F.when(size % 10 != 0, size * 20).alias("product_description_lenght"),
+        (size % 5 + 1).alias("product_photos_qty"),
+        (size * 100).alias("product_weight_g"),
+        size.alias("product_length_cm"),
+        (size % 7 + 1).alias("product_height_cm"),
+        (size % 11 + 1).alias("product_width_cm"),
+    )
+
+
+def ec_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category -> English name (underscores to spaces); the ``promo_*`` categories are
+    missing on purpose, as two categories are in the source's translation file."""
+    cats = ec_products(spark, sf_dir).select("product_category_name").distinct()
+    return cats.filter(~F.col("product_category_name").startswith("promo")).select(
+        "product_category_name",
+        F.regexp_replace("product_category_name", "_", " ").alias("product_category_name_english"),
+    )
+
+
+def ec_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = load_table(spark, sf_dir, "supplier")
+    n = load_table(spark, sf_dir, "nation")
+    return s.join(bounded_broadcast(n), s.s_nationkey == n.n_nationkey).select(
+        F.col("s_suppkey").alias("seller_id"),
+        F.col("s_nationkey").alias("seller_zip_code_prefix"),
+        F.col("s_name").alias("seller_city"),
+        F.col("n_name").alias("seller_state"),
+    )
+
+
+def ec_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers; two customer ids share one ``customer_unique_id`` (repeat buyers)."""
+    c = load_table(spark, sf_dir, "customer")
+    n = load_table(spark, sf_dir, "nation")
+    return c.join(bounded_broadcast(n), c.c_nationkey == n.n_nationkey).select(
+        F.col("c_custkey").alias("customer_id"),
+        F.concat(F.lit("u"), F.expr("c_custkey div 2").cast("string")).alias("customer_unique_id"),
+        F.col("c_nationkey").alias("customer_zip_code_prefix"),
+        F.col("c_name").alias("customer_city"),
+        F.concat(F.col("n_name"), F.lit(" ")).alias("customer_state"),  # trailing blank, trimmed later
+    )
+
+
+def ec_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One review per order; score = the digit of the order priority (1-5)."""
+    o = load_table(spark, sf_dir, "orders")
+    return o.select(
+        F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("review_id"),
+        F.col("o_orderkey").alias("order_id"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("review_score"),
+        F.timestamp_add("DAY", F.lit(40), F.col("o_orderdate")).alias("review_creation_date"),
+    )
