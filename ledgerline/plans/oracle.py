@@ -473,4 +473,7 @@ def all_sql() -> dict[str, str]:
     from ledgerline.plans.oracle_orders import ORDERS_SQL
 
     out.update(ORDERS_SQL)
+    from ledgerline.plans.oracle_stats import STATS_SQL
+
+    out.update(STATS_SQL)
     return out

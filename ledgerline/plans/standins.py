@@ -338,3 +338,44 @@ def ec_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("o_orderpriority", 1, 1).cast("int").alias("review_score"),
         F.timestamp_add("DAY", F.lit(40), F.col("o_orderdate")).alias("review_creation_date"),
     )
+
+
+# --------------------------------------------------------------------------- claims
+
+# Vehicle origin by return flag.
+REGION_BY_RETURNFLAG = {"A": "EUROPE", "N": "EAST ASIA", "R": "LOCAL"}
+
+
+def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One claim per line item: Female (line status F), Age (18 + customer mod 60),
+    Engine_Capacity (50 x quantity), Vehicle_Age (line number), Car_Value (extended
+    price), Claim_Amount (order total x (discount + tax), zero for some rows),
+    Vehicle_Make_Region, Claim_Amount_Indicator (discount >= 0.05)."""
+    li = load_table(spark, sf_dir, "lineitem")
+    o = load_table(spark, sf_dir, "orders")
+    j = li.join(o.select("o_orderkey", "o_custkey", "o_totalprice"), li.l_orderkey == o.o_orderkey)
+    return j.select(
+        F.col("l_orderkey").alias("claim_order"),
+        F.col("l_linenumber").alias("claim_line"),
+        F.col("l_partkey").alias("claim_part"),
+        (F.col("l_linestatus") == "F").cast("int").alias("Female"),
+        (F.lit(18) + F.col("o_custkey") % 60).cast("double").alias("Age"),
+        (F.col("l_quantity") * 50).alias("Engine_Capacity"),
+        F.col("l_linenumber").cast("double").alias("Vehicle_Age"),
+        F.col("l_extendedprice").alias("Car_Value"),
+        (F.col("o_totalprice") * (F.col("l_discount") + F.col("l_tax"))).alias("Claim_Amount"),
+        _case("l_returnflag", REGION_BY_RETURNFLAG).alias("Vehicle_Make_Region"),
+        (F.col("l_discount") >= 0.05).cast("int").alias("Claim_Amount_Indicator"),
+    )
+
+
+def claims_recoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adds Foreign (EUROPE / EAST ASIA -> FOREIGN, else as is) and Foreign_factor
+    (LOCAL -> 0, else 1) (M26)."""
+    c = claims(spark, sf_dir)
+    foreign = F.when(F.col("Vehicle_Make_Region").isin("EUROPE", "EAST ASIA"), F.lit("FOREIGN")).otherwise(
+        F.col("Vehicle_Make_Region")
+    )
+    return c.withColumn("Foreign", foreign).withColumn(
+        "Foreign_factor", F.when(F.col("Foreign") == "LOCAL", 0).otherwise(1)
+    )
