@@ -139,12 +139,16 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
         (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("wf"),
     )
     acc = F.col("tp").cast("double") / F.col("n")
+
+    def row(name, p, r, f):
+        return F.struct(F.lit(name).alias("cls"), p.alias("precision"), r.alias("recall"), f.alias("f1"),
+                        F.col("n").alias("support"))
+
     summary = tot.select(F.explode(F.array(
-        F.struct(F.lit("accuracy").alias("cls"), acc.alias("precision"), acc.alias("recall"), acc.alias("f1"),
-                 F.col("n").alias("support")),
-        F.struct(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf"), F.col("n")),
-        F.struct(F.lit("weighted avg"), F.col("wp"), F.col("wr"), F.col("wf"), F.col("n")),
-        F.struct(F.lit("micro avg"), acc, acc, acc, F.col("n")),
+        row("accuracy", acc, acc, acc),
+        row("macro avg", F.col("mp"), F.col("mr"), F.col("mf")),
+        row("weighted avg", F.col("wp"), F.col("wr"), F.col("wf")),
+        row("micro avg", acc, acc, acc),
     )).alias("_s")).select("_s.*")
     return per.select("cls", "precision", "recall", "f1", "support").unionByName(summary)
 

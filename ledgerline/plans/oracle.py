@@ -476,4 +476,7 @@ def all_sql() -> dict[str, str]:
     from ledgerline.plans.oracle_stats import STATS_SQL
 
     out.update(STATS_SQL)
+    from ledgerline.plans.oracle_ml import ML_SQL
+
+    out.update(ML_SQL)
     return out

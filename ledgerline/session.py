@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +48,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+@contextmanager
+def planning_without_constraints(spark: SparkSession):
+    """Deep plans (a star join feeding windows over ~20 NOT NULL columns) make
+    Catalyst's constraint propagation grow combinatorially; switch it off while such
+    a plan is optimised, then restore the session's setting."""
+    key = "spark.sql.constraintPropagation.enabled"
+    old = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
