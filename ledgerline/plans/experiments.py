@@ -60,6 +60,16 @@ def t4_sample_ratio_pvalue(spark: SparkSession, d: str) -> DataFrame:
     return with_chi2_p(r, "srm_chi2", "_dof").select("n_a", "n_b", "srm_chi2", "p_value")
 
 
+def t4_hash_assignment_balance(spark: SparkSession, d: str) -> DataFrame:
+    """Units per arm under the hash assignment, with the sample-ratio chi-square."""
+    users = load_table(spark, d, "events").select("user_id").distinct()
+    a = assign_arms(users, "user_id", seed=1)
+    g = a.agg(*[F.count_if(F.col("arm") == arm).alias(f"n_{arm}") for arm in ARMS])
+    n = F.col(f"n_{ARMS[0]}") + F.col(f"n_{ARMS[1]}")
+    chi2 = ((F.col(f"n_{ARMS[0]}") - n / 2) ** 2 + (F.col(f"n_{ARMS[1]}") - n / 2) ** 2) / (n / 2)
+    return with_chi2_p(g.withColumn("srm_chi2", chi2).withColumn("_dof", F.lit(1)), "srm_chi2", "_dof").drop("_dof")
+
+
 def t5_chi_square_flags(spark: SparkSession, d: str) -> DataFrame:
     return chi_square_independence(load_table(spark, d, "lineitem"), "l_returnflag", "l_linestatus")
 
@@ -94,6 +104,7 @@ QUERIES = {
     "t3_pvalues_power_by_segment": t3_pvalues_power_by_segment,
     "t4_error_rate_by_arm": t4_error_rate_by_arm,
     "t4_sample_ratio_pvalue": t4_sample_ratio_pvalue,
+    "t4_hash_assignment_balance": t4_hash_assignment_balance,
     "t5_chi_square_flags": t5_chi_square_flags,
     "t5_chi_square_event_arm": t5_chi_square_event_arm,
     "t5_chi_square_pvalues": t5_chi_square_pvalues,

@@ -28,6 +28,7 @@ from ledgerline.operators.ml import (
     feature_importance,
     hard_label_auc,
     macro_recall,
+    macro_roc,
     ovr_gbt,
     ovr_scores,
     random_forest,
@@ -220,6 +221,18 @@ def ml_baseline_score_auc(spark: SparkSession, d: str) -> DataFrame:
     return roc_auc(stacked, F.col("label") == F.col("cls"), F.col("score"), by=["cls"])
 
 
+def ml_baseline_macro_roc(spark: SparkSession, d: str) -> DataFrame:
+    """Macro-average ROC of the baseline on a 100-point FPR grid (M16, M27): per-class
+    curves (<= 20 points each) are aggregated in Spark, interpolated on the driver."""
+    curves: dict = {}
+    for r in ml_baseline_roc_curve(spark, d).collect():  # classes x 20 points
+        c = curves.setdefault(r.cls, ([], []))
+        c[0].append(r.fpr)
+        c[1].append(r.tpr)
+    grid, tpr = macro_roc({k: (np.array(v[0] + [0.0, 1.0]), np.array(v[1] + [0.0, 1.0])) for k, v in curves.items()})
+    return spark.createDataFrame([(float(f), float(t)) for f, t in zip(grid, tpr)], "fpr double, macro_tpr double")
+
+
 def ml_baseline_roc_curve(spark: SparkSession, d: str) -> DataFrame:
     b = _baseline(spark, d)
     stacked = b.select("score", "label", F.explode(F.array(F.lit("A"), F.lit("N"), F.lit("R"))).alias("cls"))
@@ -395,6 +408,7 @@ QUERIES = {
     "ml_baseline_hard_auc": ml_baseline_hard_auc,
     "ml_baseline_score_auc": ml_baseline_score_auc,
     "ml_baseline_roc_curve": ml_baseline_roc_curve,
+    "ml_baseline_macro_roc": ml_baseline_macro_roc,
     "t7_stepwise_logit": t7_stepwise_logit,
     "t8_odds_ratios": t8_odds_ratios,
     "t9_logistic_report": t9_logistic_report,

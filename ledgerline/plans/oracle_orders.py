@@ -203,6 +203,15 @@ FROM (SELECT count(*) AS n FROM ec_payments
       GROUP BY order_id, payment_sequential, payment_type, payment_installments, payment_value)
 """,
     "ec1_profile_products": _profile("ec_products", PROD_COLS),
+    "ec1_payment_value_histogram": _with(EC) + """
+, r AS (SELECT min(CAST(payment_value AS DOUBLE)) AS lo, max(CAST(payment_value AS DOUBLE)) AS hi FROM ec_payments)
+, b AS (SELECT CASE WHEN hi = lo THEN 1
+                    ELSE least(CAST(floor((CAST(payment_value AS DOUBLE) - lo) / ((hi - lo) / 20)) AS INTEGER) + 1, 20)
+               END AS bin, lo, hi
+        FROM ec_payments, r WHERE payment_value IS NOT NULL)
+SELECT bin, lo + (bin - 1) * (hi - lo) / 20 AS bin_start, lo + bin * (hi - lo) / 20 AS bin_end, count(*) AS count
+FROM b GROUP BY bin, lo, hi
+""",
     "ec2_payment_count_distribution": _with(EC) + f"""
 , po AS (SELECT order_id, count(DISTINCT payment_sequential) AS payment_count, sum(payment_value) AS v
          FROM ec_payments WHERE payment_type <> 'not_defined' GROUP BY 1)

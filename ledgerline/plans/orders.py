@@ -21,7 +21,15 @@ from ledgerline.operators.orders import (
     volume_class,
     with_lead_times,
 )
-from ledgerline.operators.profile import box_stats, describe, duplicate_rows, negative_columns, profile_table, violation_rates
+from ledgerline.operators.profile import (
+    box_stats,
+    describe,
+    duplicate_rows,
+    histogram,
+    negative_columns,
+    profile_table,
+    violation_rates,
+)
 from ledgerline.operators.share import percent_distribution, pivot_counts, value_counts, with_total
 from ledgerline.plans import standins as S
 
@@ -63,6 +71,10 @@ def ec1_profile_products(spark: SparkSession, d: str) -> DataFrame:
     return profile_table(S.ec_products(spark, d))
 
 
+def ec1_payment_value_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return histogram(S.ec_payments(spark, d), "payment_value", 20)
+
+
 def _payments(spark, d):
     return S.ec_payments(spark, d).filter(F.col("payment_type") != "not_defined")
 
@@ -298,6 +310,7 @@ QUERIES = {
     "ec1_describe_payments": ec1_describe_payments,
     "ec1_duplicates_payments": ec1_duplicates_payments,
     "ec1_profile_products": ec1_profile_products,
+    "ec1_payment_value_histogram": ec1_payment_value_histogram,
     "ec2_payment_count_distribution": ec2_payment_count_distribution,
     "ec3_payment_type_by_sequence": ec3_payment_type_by_sequence,
     "ec4_installment_distribution": ec4_installment_distribution,
