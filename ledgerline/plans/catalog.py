@@ -12,6 +12,27 @@ from ledgerline.plans import weekly_sales
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+# Iterative model fitting (many Spark jobs per query, time set by iteration counts).
+MODEL_FITTING = (
+    "ml_ovr_gbt_report",
+    "ml_ovr_gbt_auc",
+    "ml_gbdt_tuned_report",
+    "ml_random_forest_report",
+    "ml_feature_importance",
+    "ml_smote_class_counts",
+    "ml_random_search_gbt",
+    "ml_smote_cv_macro_recall",
+    "in5_lda_confusion",
+    "in5_lda_accuracy",
+    "t7_stepwise_logit",
+    "t8_odds_ratios",
+    "t9_logistic_report",
+    "t10_topic_terms",
+    "t10_doc_topics",
+    "t11_cluster_terms",
+    "t12_multimodal_compare",
+)
+
 
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
