@@ -46,6 +46,15 @@ def cov_by_group(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataF
     return g.select(*by, "n", rows.alias("_s")).select(*by, "n", "_s.*")
 
 
+def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
+    """``scale(x)``: ``(x - mean) / sample sd`` per column (P20); the means and sds are
+    one aggregate, joined back as a one-row broadcast."""
+    stats = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_samp(c).alias(f"_s_{c}") for c in cols])
+    j = df.withColumn("_one", F.lit(1)).join(F.broadcast(stats.withColumn("_one", F.lit(1))), "_one")
+    j = j.withColumns({f"{c}{suffix}": (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}") for c in cols})
+    return j.drop("_one", *[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
+
+
 def moments(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Per group: n, sums and cross-product sums of ``cols`` (exact for p x p algebra)."""
     pairs = list(combinations_with_replacement(cols, 2))

@@ -241,6 +241,9 @@ SELECT order_id, total_payments_method, CAST(total_payment_value AS DOUBLE) AS t
        num_of_installments, is_boleto, is_credit_card, is_debit_card, is_voucher
 FROM ec_pay_features
 """,
+    "ec6_payment_flag_shares": _with(EC) + "SELECT " + ", ".join(
+        f"{rhu_double(f'sum(is_{t})', 'count(*)', 4, 100, 0)} AS pct_{t}"
+        for t in ("boleto", "credit_card", "debit_card", "voucher")) + " FROM ec_pay_features",
     "ec7_clean_products": _with(EC) + "SELECT * FROM ec_products_clean",
     "ec8_photo_distribution": _with(EC) + """
 , g AS (SELECT product_photos_qty, count(*) AS n FROM ec_products_clean WHERE product_photos_qty IS NOT NULL GROUP BY 1)

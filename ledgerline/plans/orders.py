@@ -120,6 +120,13 @@ def ec6_order_payment_features(spark: SparkSession, d: str) -> DataFrame:
     return f.withColumn("total_payment_value", F.col("total_payment_value").cast("double"))
 
 
+def ec6_payment_flag_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Percent of orders using each payment type (A29): one aggregate of the flags."""
+    f = payment_features(_payments(spark, d))
+    return f.agg(*[exact_pct(F.sum(f"is_{t}"), F.count(F.lit(1)), 2).alias(f"pct_{t}")
+                   for t in ("boleto", "credit_card", "debit_card", "voucher")])
+
+
 # ----------------------------------------------------------------------- products / orders
 
 def _products(spark, d):
@@ -316,6 +323,7 @@ QUERIES = {
     "ec4_installment_distribution": ec4_installment_distribution,
     "ec5_payment_totals_by_type": ec5_payment_totals_by_type,
     "ec6_order_payment_features": ec6_order_payment_features,
+    "ec6_payment_flag_shares": ec6_payment_flag_shares,
     "ec7_clean_products": ec7_clean_products,
     "ec8_photo_distribution": ec8_photo_distribution,
     "ec9_status_counts": ec9_status_counts,

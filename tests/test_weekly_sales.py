@@ -114,3 +114,25 @@ def test_share_of_total_identity(spark):
 def test_day_names(spark):
     df = spark.createDataFrame([(dt.date(2020, 6, 15),)], "d date")
     assert df.select(day_name("d", padded=True)).first()[0] == "monday   "
+
+
+def test_written_table_round_trip(spark):
+    """The cleaned table persisted (partitioned by year) and read back whole."""
+    import tempfile
+
+    from ledgerline.sources.tables import write_table
+
+    rows = [("31/8/20", "ASIA", "Retail", "C1", "New", 10, Decimal("100.00")),
+            ("1/1/19", "ASIA", "Retail", "F2", "New", 3, Decimal("10.00"))]
+    clean = clean_weekly_sales(_sales(spark, rows))
+    path = tempfile.mkdtemp(prefix="ledgerline-test-table-", dir="/tmp") + "/clean_weekly_sales"
+    write_table(clean, path, partition_by=["calendar_year"])
+    back = spark.read.parquet(path)
+    assert back.count() == 2 and sorted(r.calendar_year for r in back.collect()) == [2019, 2020]
+
+
+def test_standardize(spark):
+    from ledgerline.operators.stats import standardize
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "x double")
+    assert [r.z for r in standardize(df, ["x"], "").select(F.col("x").alias("z")).orderBy("z").collect()] == [-1.0, 0.0, 1.0]
