@@ -20,13 +20,13 @@ ec_orders AS (
 ),
 ec_orders_lt AS (
   SELECT *,
-    date_diff('day', CAST(order_purchase_timestamp AS DATE), CAST(order_approved_at AS DATE)) AS days_purchase_to_approved,
-    date_diff('day', CAST(order_approved_at AS DATE), CAST(order_delivered_carrier_date AS DATE)) AS days_approved_to_carrier,
-    date_diff('day', CAST(order_delivered_carrier_date AS DATE), CAST(order_delivered_customer_date AS DATE))
+    CAST(date_diff('day', CAST(order_purchase_timestamp AS DATE), CAST(order_approved_at AS DATE)) AS INTEGER) AS days_purchase_to_approved,
+    CAST(date_diff('day', CAST(order_approved_at AS DATE), CAST(order_delivered_carrier_date AS DATE)) AS INTEGER) AS days_approved_to_carrier,
+    CAST(date_diff('day', CAST(order_delivered_carrier_date AS DATE), CAST(order_delivered_customer_date AS DATE)) AS INTEGER)
       AS days_carrier_to_customer,
-    date_diff('day', CAST(order_delivered_customer_date AS DATE), CAST(order_estimated_delivery_date AS DATE))
+    CAST(date_diff('day', CAST(order_delivered_customer_date AS DATE), CAST(order_estimated_delivery_date AS DATE)) AS INTEGER)
       AS days_customer_to_estimated,
-    date_diff('day', CAST(order_purchase_timestamp AS DATE), CAST(order_delivered_customer_date AS DATE))
+    CAST(date_diff('day', CAST(order_purchase_timestamp AS DATE), CAST(order_delivered_customer_date AS DATE)) AS INTEGER)
       AS delivery_minus_purchase
   FROM ec_orders
 ),

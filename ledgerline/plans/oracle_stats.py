@@ -55,7 +55,7 @@ def _hotelling(group: str, v1: str, v2: str) -> str:
         FROM a, b)
 , t AS (SELECT n1, n2, CAST(n1 * n2 AS DOUBLE) / (n1 + n2) * (d1 * d1 * s22 - 2 * d1 * d2 * s12 + d2 * d2 * s11)
                       / (s11 * s22 - s12 * s12) AS t2 FROM p)
-SELECT n1, n2, t2, (n1 + n2 - 3) / ((n1 + n2 - 2) * 2.0) * t2 AS f, 2.0 AS df1, CAST(n1 + n2 - 3 AS DOUBLE) AS df2
+SELECT n1, n2, t2, (n1 + n2 - 3) / ((n1 + n2 - 2) * 2.0) * t2 AS f, CAST(2 AS DOUBLE) AS df1, CAST(n1 + n2 - 3 AS DOUBLE) AS df2
 FROM t
 """
 
