@@ -22,6 +22,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
+def join_aggregate(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a per-group aggregate (ranges, offsets, class sizes: one row per group or
+    per group and bucket) back to its rows.
+
+    No explicit broadcast and no size-probing job: that probe would aggregate the whole
+    input once more.  With AQE the aggregate's shuffle stage is measured when it
+    finishes and the join becomes a broadcast hash join if it is small, else it stays
+    a shuffle join.
+    """
+    return df.join(small, on, how)
+
+
 def with_lookup(
     df: DataFrame,
     lookup: DataFrame,

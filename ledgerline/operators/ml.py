@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ledgerline.operators.joins import bounded_broadcast
+from ledgerline.operators.joins import join_aggregate
 
 BUCKETS = 1024
 
@@ -53,7 +53,7 @@ def group_row_index(df: DataFrame, group_cols: Sequence[str], u_col: str, bucket
     counts = d.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_c"))
     prev = W.partitionBy(*group_cols).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     offs = counts.select(*group_cols, "_b", F.coalesce(F.sum("_c").over(prev), F.lit(0)).alias("_off"))
-    d = d.join(bounded_broadcast(offs, 1_000_000), [*group_cols, "_b"])
+    d = join_aggregate(d, offs, [*group_cols, "_b"])
     local = F.row_number().over(W.partitionBy(*group_cols, "_b").orderBy(u_col)) - 1
     return d.withColumn(name, F.col("_off") + local).drop("_b", "_off")
 
@@ -71,7 +71,7 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], test_fr
     d = df.withColumn("_u", uniform_hash(key_cols, seed))
     d = group_row_index(d, [label], "_u")
     sizes = d.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    d = d.join(bounded_broadcast(sizes), label)
+    d = join_aggregate(d, sizes, label)
     return d.withColumn("is_test", F.col("_idx") < F.round(F.col("_n") * test_frac)).drop("_u", "_idx", "_n")
 
 
@@ -177,7 +177,7 @@ def roc_auc(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[
     d = scored.select(*by, score.cast("double").alias("_s"), is_positive.cast("int").alias("_y"))
     per = d.groupBy(*by, "_s").agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg"))
     rng = per.groupBy(*by).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
-    per = per.join(bounded_broadcast(rng, 1_000_000), list(by)) if by else per.withColumn("_one", F.lit(1)).join(
+    per = join_aggregate(per, rng, list(by)) if by else per.withColumn("_one", F.lit(1)).join(
         F.broadcast(rng.withColumn("_one", F.lit(1))), "_one").drop("_one")
     width = (F.col("_hi") - F.col("_lo")) / buckets
     per = per.withColumn("_b", F.when(width > 0, F.least(F.floor((F.col("_s") - F.col("_lo")) / width),
@@ -185,7 +185,7 @@ def roc_auc(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[
     bt = per.groupBy(*by, "_b").agg(F.sum("_neg").alias("_bn"))
     prev_b = W.partitionBy(*by).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     bt = bt.select(*by, "_b", F.coalesce(F.sum("_bn").over(prev_b), F.lit(0)).alias("_off"))
-    per = per.join(bounded_broadcast(bt, 1_000_000), [*by, "_b"])
+    per = join_aggregate(per, bt, [*by, "_b"])
     prev_s = W.partitionBy(*by, "_b").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
     per = per.withColumn("_below", F.col("_off") + F.coalesce(F.sum("_neg").over(prev_s), F.lit(0)))
     agg = per.groupBy(*by).agg(
@@ -205,7 +205,7 @@ def roc_curve(scored: DataFrame, is_positive: Column, score: Column, by: Sequenc
     qs = [i / points for i in range(points)]
     th = d.groupBy(*by).agg(F.percentile_approx("_s", qs, 10000).alias("_th"),
                             F.sum("_y").alias("_np"), F.sum(1 - F.col("_y")).alias("_nn"))
-    j = d.join(bounded_broadcast(th, 100_000), list(by)) if by else d.withColumn("_one", F.lit(1)).join(
+    j = join_aggregate(d, th, list(by)) if by else d.withColumn("_one", F.lit(1)).join(
         F.broadcast(th.withColumn("_one", F.lit(1))), "_one").drop("_one")
     j = j.withColumn("_k", F.expr("size(filter(_th, t -> t <= _s))"))
     cnt = j.groupBy(*by, "_k", "_np", "_nn", "_th").agg(F.sum("_y").alias("_p"), F.sum(1 - F.col("_y")).alias("_n"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import bin_left_closed, bin_right_closed, flag, lead_days, same_trimmed
-from ledgerline.operators.joins import bounded_broadcast
+from ledgerline.operators.joins import bounded_broadcast, join_aggregate
 
 # Payment types flagged per order, and the labelled bins of the source.
 PAYMENT_FLAGS = ("boleto", "credit_card", "debit_card", "voucher")
@@ -102,7 +102,7 @@ def clean_products(products: DataFrame, translation: DataFrame, fill_rules: dict
     p = p.withColumn(
         "volume_cm3", F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")
     )
-    j = p.join(bounded_broadcast(translation), "product_category_name", "left")
+    j = join_aggregate(p, translation, "product_category_name", "left")
     english = F.col("product_category_name_english")
     if fill_rules is None:  # default rule: an untranslated name stands for itself
         english = F.coalesce(english, F.col("product_category_name"))

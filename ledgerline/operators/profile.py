@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.types import NumericType
 
-from ledgerline.operators.joins import bounded_broadcast
+from ledgerline.operators.joins import join_aggregate
 
 QUANTILE_BUCKETS = 1024
 
@@ -84,7 +84,7 @@ def exact_quantiles(df: DataFrame, value: str, by: Sequence[str], probs: Sequenc
     vals = df.select(*by, x.alias("_v")).filter(F.col("_v").isNotNull())
     per = vals.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
     rng = per.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("n"))
-    per = per.join(bounded_broadcast(rng, 1_000_000), list(by)) if by else per.withColumn("_one", F.lit(1)).join(
+    per = join_aggregate(per, rng, list(by)) if by else per.withColumn("_one", F.lit(1)).join(
         F.broadcast(rng.withColumn("_one", F.lit(1))), "_one").drop("_one")
     width = (F.col("_hi") - F.col("_lo")) / buckets
     per = per.withColumn("_b", F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width),
@@ -92,7 +92,7 @@ def exact_quantiles(df: DataFrame, value: str, by: Sequence[str], probs: Sequenc
     bt = per.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
     prev_b = W.partitionBy(*by).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     bt = bt.select(*by, "_b", F.coalesce(F.sum("_bc").over(prev_b), F.lit(0)).alias("_off"))
-    per = per.join(bounded_broadcast(bt, 1_000_000), [*by, "_b"])
+    per = join_aggregate(per, bt, [*by, "_b"])
     prev_v = W.partitionBy(*by, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
     per = per.withColumn("_first", F.col("_off") + F.coalesce(F.sum("_c").over(prev_v), F.lit(0)))
     # rows [_first, _first + _c) of the sorted group hold value _v
