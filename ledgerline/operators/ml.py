@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 
 from ledgerline.operators.joins import join_aggregate
 
-BUCKETS = 1024
+BUCKETS = 1 << 16  # ~15M rows per bucket even for a 10^12-row group
 
 
 # --------------------------------------------------------------------------- hashing, positions

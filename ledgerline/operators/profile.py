@@ -17,7 +17,7 @@ from pyspark.sql.types import NumericType
 
 from ledgerline.operators.joins import join_aggregate
 
-QUANTILE_BUCKETS = 1024
+QUANTILE_BUCKETS = 1 << 16
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
