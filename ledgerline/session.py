@@ -43,8 +43,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        except Exception:  # noqa: BLE001 - some deployments refuse runtime changes of core settings
+            pass
+    try:
+        spark.sparkContext.setCheckpointDir(conf_dir)
+    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. a remote session): the conf is used
+        pass
     return conf_dir
 
 
