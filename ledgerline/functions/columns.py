@@ -190,3 +190,9 @@ def exact_pct(num: str | Column, den: str | Column, places: int = 2) -> Column:
 def exact_round_ratio(num: str | Column, den: str | Column, places: int = 2, scale: int = 0) -> Column:
     """``round(num / den, places)`` HALF_UP on exact decimals, as double."""
     return F.round(exact_ratio(num, den, scale), places).cast("double")
+
+
+def to_numeric(c: str | Column, coerce: bool = False, to: str = "double") -> Column:
+    """``pd.to_numeric(s)`` / ``(s, errors='coerce')`` (P6): a strict cast fails on bad
+    text under ANSI mode; ``coerce`` turns bad values into NULL with ``try_cast``."""
+    return col_(c).try_cast(to) if coerce else col_(c).cast(to)

@@ -136,3 +136,14 @@ def test_standardize(spark):
 
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "x double")
     assert [r.z for r in standardize(df, ["x"], "").select(F.col("x").alias("z")).orderBy("z").collect()] == [-1.0, 0.0, 1.0]
+
+
+def test_to_numeric_coerce(spark):
+    import pytest
+
+    from ledgerline.functions.columns import to_numeric
+
+    df = spark.createDataFrame([("1.5",), ("x",), (None,)], "s string")
+    assert [r[0] for r in df.select(to_numeric("s", coerce=True)).collect()] == [1.5, None, None]
+    with pytest.raises(Exception):
+        df.select(to_numeric("s")).collect()
