@@ -43,10 +43,22 @@ def _case(col: str, mapping: dict, default=None):
 
 # --------------------------------------------------------------------------- weekly sales
 
-def weekly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weekly_sales(spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None = None) -> DataFrame:
     """Raw weekly-sales table: ``week_date`` text ``d/M/yy`` (Monday of the ISO week),
-    region, platform, segment code, customer_type, transactions, sales decimal(18,2)."""
+    region, platform, segment code, customer_type, transactions, sales decimal(18,2).
+
+    ``years``: only weeks whose Monday falls in one of these calendar years are needed.
+    Such a week holds orders dated from Jan 1 of the year up to Jan 6 of the next, so
+    that order-date range is filtered before the join and aggregation; it reaches the
+    parquet scan as a pushed filter.  The exact year filter is still applied by the
+    caller on ``calendar_year``."""
     o = load_table(spark, sf_dir, "orders")
+    if years:
+        lo, hi = min(years), max(years)
+        o = o.filter(
+            (F.col("o_orderdate") >= F.lit(f"{lo}-01-01").cast("timestamp_ntz"))
+            & (F.col("o_orderdate") < F.lit(f"{hi + 1}-01-07").cast("timestamp_ntz"))
+        )
     c = load_table(spark, sf_dir, "customer")
     n = load_table(spark, sf_dir, "nation")
     r = load_table(spark, sf_dir, "region")
@@ -112,8 +124,10 @@ def clean_weekly_sales(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_weekly_sales(weekly_sales(spark, sf_dir))
+def clean_sales(spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None = None) -> DataFrame:
+    """Cleaned weekly sales; with ``years`` only those calendar years (read pruned)."""
+    clean = clean_weekly_sales(weekly_sales(spark, sf_dir, years))
+    return clean.filter(F.col("calendar_year").isin(list(years))) if years else clean
 
 
 # --------------------------------------------------------------------------- web events

@@ -37,7 +37,7 @@ def dm3_missing_weeks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dm3_missing_weeks_2001(spark: SparkSession, d: str) -> DataFrame:
-    c = clean_sales(spark, d).filter(F.col("calendar_year") == 2001)
+    c = clean_sales(spark, d, (2001,))
     return missing_periods(c, "week_number", 1, 52)
 
 
@@ -103,7 +103,7 @@ def dm10_avg_transaction(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _year(spark, d):
-    return clean_sales(spark, d).filter(F.col("calendar_year") == BASELINE_YEAR)
+    return clean_sales(spark, d, (BASELINE_YEAR,))
 
 
 def dm11_before_after_4w(spark: SparkSession, d: str) -> DataFrame:
@@ -115,11 +115,11 @@ def dm12_before_after_12w(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dm13_yearly_change_4w(spark: SparkSession, d: str) -> DataFrame:
-    return impact_by_year(clean_sales(spark, d), COMPARE_YEARS, "week_number", (21, 24), (25, 28))
+    return impact_by_year(clean_sales(spark, d, COMPARE_YEARS), COMPARE_YEARS, "week_number", (21, 24), (25, 28))
 
 
 def dm14_yearly_change_12w(spark: SparkSession, d: str) -> DataFrame:
-    return impact_by_year(clean_sales(spark, d), COMPARE_YEARS, "week_number", (13, 24), (25, 36))
+    return impact_by_year(clean_sales(spark, d, COMPARE_YEARS), COMPARE_YEARS, "week_number", (13, 24), (25, 36))
 
 
 def _impact(dim: str, style: str):
