@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import near_dup, packing
+from ledgerline.llm import decontaminate, lm_score, near_dup, packing
 
 QUERIES = {
+    "op4_simhash_decontamination": decontaminate.op4_simhash_decontamination,
     "op5_minhash_dedup": near_dup.op5_minhash_dedup,
+    "op10_ppm_scoring": lm_score.op10_ppm_scoring,
     "op9_cutting_stock_packing": packing.op9_cutting_stock_packing,
 }
 
