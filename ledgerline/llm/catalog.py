@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, lm_score, near_dup, packing
+from ledgerline.llm import decontaminate, language, lm_score, near_dup, neighbours, packing, pii, quality, sharding, toxicity
 
 QUERIES = {
+    "op1_qda_quality": quality.op1_qda_quality,
+    "op2_collision_neighbours": neighbours.op2_collision_neighbours,
+    "op3_maglev_sharding": sharding.op3_maglev_sharding,
     "op4_simhash_decontamination": decontaminate.op4_simhash_decontamination,
     "op5_minhash_dedup": near_dup.op5_minhash_dedup,
-    "op10_ppm_scoring": lm_score.op10_ppm_scoring,
+    "op6_crf_language": language.op6_crf_language,
+    "op7_anchor_pii": pii.op7_anchor_pii,
+    "op8_lexicon_toxicity": toxicity.op8_lexicon_toxicity,
     "op9_cutting_stock_packing": packing.op9_cutting_stock_packing,
+    "op10_ppm_scoring": lm_score.op10_ppm_scoring,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_maglev_sharding": sharding.ORACLE}

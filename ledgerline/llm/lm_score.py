@@ -198,10 +198,10 @@ def score(docs: DataFrame, held_out) -> DataFrame:
 
     model = _model(gram_counts)
     often = gram_counts.where(F.col("n") >= _frequent(gram_counts, FREQUENT_GRAMS)).select("gram")
-    table = stored(_costs(often, model), "costs").toPandas().sort_values("gram")  # at most FREQUENT_GRAMS rows
-    common = words.where(F.col("n") >= _frequent(words, FREQUENT_WORDS)).toPandas()  # at most FREQUENT_WORDS rows
-    known = {bytes(w): c for w, c in zip(common["word"], (np.log10(common["n"].to_numpy(dtype=np.float64) + 0.5) - share).tolist())}
-    shared = spark.sparkContext.broadcast((known, table["gram"].to_numpy(dtype=np.int64), table["cost"].to_numpy(dtype=np.float64)))
+    table = stored(_costs(often, model), "costs").toArrow().sort_by("gram")  # at most FREQUENT_GRAMS rows
+    common = words.where(F.col("n") >= _frequent(words, FREQUENT_WORDS)).toArrow()  # at most FREQUENT_WORDS rows
+    known = dict(zip(common["word"].to_pylist(), (np.log10(common["n"].to_numpy() + 0.5) - share).tolist()))
+    shared = spark.sparkContext.broadcast((known, table["gram"].to_numpy(), table["cost"].to_numpy()))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", held_out.alias("held_out"), "text")
