@@ -24,11 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.shared import crc_mod, mapped, text_steps
+from ledgerline.llm.shared import crc_mod, mapped, mixed, span_hashes, text_steps
 
 MOST_DOCS, MOST_LANGUAGES, MOST_CHARS = 300, 100, 20_000
 BUCKETS, EPOCHS, RATE, LENGTH, LEXICON = 1 << 16, 8, 0.3, 64, 2000
@@ -37,14 +36,46 @@ HELD_WORDS = 500_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def features(word: str) -> list[int]:
-    """Hash buckets of a word's features (its letters, lowered); none for a word without letters."""
-    w = "".join(_LETTERS.findall(word)).lower()
-    if not w:
-        return []
-    m = f"^{w}$"
-    names = {f"p{w[:k]}" for k in (1, 2, 3)} | {f"s{w[-k:]}" for k in (1, 2, 3)} | {m[i : i + k] for k in (2, 3) for i in range(len(m) - k + 1)} | {f"={w}"}
-    return [xxhash.xxh32_intdigest(n) % BUCKETS for n in names]
+def letters(word: str) -> str:
+    return "".join(_LETTERS.findall(word)).lower()
+
+
+def features(words: list[str], lexicon: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hash buckets of the features of words (their :func:`letters`), word after word, and each word's bounds in them.
+
+    Of ``^word$`` as UTF-8: runs of two and three bytes (with them the first and last letters), four at both
+    ends, the whole word, and one bucket for each language whose lexicon (word hashes in order, languages) has it.
+    """
+    raw = [f"^{w}$".encode() for w in words]
+    data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    size = np.array([len(r) for r in raw], dtype=np.int64)
+    end = np.cumsum(size)
+    start = end - size
+    word = np.repeat(np.arange(len(raw)), size)
+    found, owner = [], []
+
+    def runs_of(k: int, at: np.ndarray) -> None:
+        key = np.full(len(at), k, dtype=np.uint64)
+        for j in range(k):
+            key = (key << np.uint64(8)) | data[at + j]
+        found.append(key), owner.append(word[at])
+
+    for k in (2, 3):
+        at = np.arange(max(0, len(data) - k + 1))
+        runs_of(k, at[word[at] == word[at + k - 1]])
+    runs_of(4, start[size >= 4])
+    runs_of(4, (end - 4)[size >= 5])
+    whole = span_hashes(data, start, end) if len(data) else np.zeros(0, dtype=np.uint64)
+    found.append(whole), owner.append(np.arange(len(raw)))
+    if lexicon is not None:
+        left, right = np.searchsorted(lexicon[0], whole), np.searchsorted(lexicon[0], whole, side="right")
+        n = right - left
+        entry = np.repeat(left - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        found.append(lexicon[1][entry].astype(np.uint64) + np.uint64(1)), owner.append(np.repeat(np.arange(len(raw)), n))
+    owners = np.concatenate(owner)
+    order = np.argsort(owners, kind="stable")
+    buckets = (mixed(np.concatenate(found)) % np.uint64(BUCKETS)).astype(np.int64)[order]
+    return buckets, np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(raw)))])
 
 
 def marginals(emit: np.ndarray, size: np.ndarray, move: np.ndarray, counted: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -89,26 +120,27 @@ class Field:
         self.languages = languages
         self.weights = np.zeros((BUCKETS, len(languages)), dtype=np.float64)
         self.move = np.zeros((len(languages), len(languages)))
-        self.lexicon: dict[str, list[int]] = {}
+        self.lexicon: tuple[np.ndarray, np.ndarray] | None = None
         self._held: dict[str, int] = {}
         self._table = np.zeros((0, len(languages)))
 
     def __getstate__(self):
         return self.__dict__ | {"_held": {}, "_table": np.zeros((0, len(self.languages)))}
 
-    def own_features(self, word: str) -> list[int]:
-        found = features(word)
-        return found + self.lexicon.get("".join(_LETTERS.findall(word)).lower(), []) if found else found
-
     def fit(self, texts: list[str], states: list[int], seed: int = 3) -> None:
         rng = np.random.default_rng(seed)
-        words = [[w for w in t.split() if _LETTERS.search(w)] for t in texts]
+        words = [[x for w in t.split() if (x := letters(w))] for t in texts]
         common: dict[int, Counter] = {}
         for ws, y in zip(words, states):
-            common.setdefault(y, Counter()).update("".join(_LETTERS.findall(w)).lower() for w in ws)
+            common.setdefault(y, Counter()).update(ws)
+        entries = []
         for y, c in sorted(common.items()):
-            for w, _ in c.most_common(LEXICON):
-                self.lexicon.setdefault(w, []).append(xxhash.xxh32_intdigest(f"lexicon{y}") % BUCKETS)
+            raw = [f"^{w}$".encode() for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:LEXICON]]
+            end = np.cumsum([len(r) for r in raw])
+            hashes = span_hashes(np.frombuffer(b"".join(raw), dtype=np.uint8), np.concatenate([[0], end[:-1]]), end) if raw else np.zeros(0, dtype=np.uint64)
+            entries += [(h, y) for h in hashes.tolist()]
+        entries.sort()
+        self.lexicon = np.array([h for h, _ in entries], dtype=np.uint64), np.array([y for _, y in entries], dtype=np.int64)
         pieces = []  # of 5 to 40 words, one language each
         for ws, y in zip(words, states):
             i = 0
@@ -117,8 +149,7 @@ class Field:
                 pieces.append((ws[i : i + n], y))
                 i += n
         kinds = {w: i for i, w in enumerate(dict.fromkeys(w for p, _ in pieces for w in p))}
-        lists = [self.own_features(w) for w in kinds]
-        flat, cuts = np.concatenate([np.array(x, dtype=np.int64) for x in lists] or [np.zeros(0, np.int64)]), np.cumsum([0] + [len(x) for x in lists])
+        flat, cuts = features(list(kinds), self.lexicon)
         squares, move_squares = np.full_like(self.weights, 1e-8), np.full_like(self.move, 1e-8)
         for _ in range(EPOCHS):
             order = rng.permutation(len(pieces))
@@ -144,10 +175,11 @@ class Field:
         p, moves = marginals(scores[code], size, self.move)
         gold = np.zeros_like(p)
         gold[np.arange(len(state)), state] = 1
-        by_kind = np.zeros_like(scores)
-        np.add.at(by_kind, code, gold - p)
-        grad = np.zeros_like(self.weights)
-        np.add.at(grad, own, np.repeat(by_kind, sizes, axis=0))
+        error = gold - p
+        grad = np.empty_like(self.weights)
+        for y in range(p.shape[1]):
+            by_kind = np.bincount(code, error[:, y], minlength=len(kinds))
+            grad[:, y] = np.bincount(own, np.repeat(by_kind, sizes), minlength=BUCKETS)
         inside = np.ones(len(state), dtype=bool)
         inside[np.cumsum(size) - 1] = False
         at = np.flatnonzero(inside)
@@ -164,15 +196,14 @@ class Field:
             self._held, self._table = {}, self._table[:0]
         found = list(map(self._held.get, words))
         if None in found:
-            sums = []
-            for w, i in zip(words, found):
-                if i is None and w not in self._held:
-                    f = self.own_features(w)
-                    self._held[w] = len(self._table) + len(sums) if f else -1
-                    if f:
-                        sums.append(self.weights[f].sum(axis=0))
-            if sums:
-                self._table = np.concatenate([self._table, np.array(sums)])
+            new = [w for w in dict.fromkeys(w for w, i in zip(words, found) if i is None)]
+            known = [(w, x) for w in new if (x := letters(w))]
+            self._held.update(dict.fromkeys(new, -1))
+            if known:
+                flat, cuts = features([x for _, x in known], self.lexicon)
+                sums = np.add.reduceat(self.weights[flat], cuts[:-1], axis=0)
+                self._held.update((w, len(self._table) + i) for i, (w, _) in enumerate(known))
+                self._table = np.concatenate([self._table, sums])
             found = [self._held[w] if i is None else i for w, i in zip(words, found)]
         return np.array(found, dtype=np.int64)
 
