@@ -37,7 +37,7 @@ BROADCAST_CLASSES = 200_000
 #: Members of one tile; a bucket of n members is compared as pairs of its ceil(n / TILE) tiles.
 TILE = 1024
 #: Shingle sets that a task holds at a time.
-HELD_SETS = 1024
+HELD_SETS = 256
 
 _SEED = mixed(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _MUL, _ADD = (_SEED[:HASHES] | np.uint64(1))[:, None], _SEED[HASHES:][:, None]

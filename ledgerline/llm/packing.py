@@ -38,7 +38,7 @@ from ledgerline.llm.shared import mapped, ranked, span_hashes, stored, text_byte
 LENGTH, END_ID, CLASSES, GAP = 2048, 1, 512, 1e-4
 TOKENIZER = "byte_bpe_50k.json"
 #: Pre-tokens whose ids a Python worker keeps; others are encoded where they occur.
-HELD_TOKENS = 1_000_000
+HELD_TOKENS = 400_000
 
 # Byte classes of the tokenizer's split pattern: 1 letter, 2 digit, 3 white space, 4 other; 0: not stated here.
 _KIND = np.zeros(256, dtype=np.uint8)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one numpy step works on; a longer document is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 _local_folders: dict[str, str] = {}
 _sent: set[str] = set()
