@@ -193,7 +193,7 @@ def roc_auc(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[
         F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"),
     )
     return agg.select(*by, "n_pos", "n_neg",
-                      (F.col("_u") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"))
+                      (F.col("_u") / (F.col("n_pos").cast("double") * F.col("n_neg").cast("double"))).alias("auc"))
 
 
 def roc_curve(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str] = (),
@@ -225,7 +225,7 @@ def macro_roc(curves: dict[str, tuple[np.ndarray, np.ndarray]], grid: int = 100)
     fpr_grid = np.linspace(0.0, 1.0, grid)
     tprs = []
     for fpr, tpr in curves.values():
-        order = np.argsort(fpr)
+        order = np.lexsort((tpr, fpr))
         tprs.append(np.interp(fpr_grid, np.asarray(fpr)[order], np.asarray(tpr)[order]))
     return fpr_grid, np.mean(tprs, axis=0)
 
