@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import exact_pct
-from ledgerline.operators.joins import bounded_broadcast, has_at_most
+from ledgerline.operators.joins import bounded_broadcast
 
 
 def visits_per_period(events: DataFrame, users: DataFrame, time_col: str, unit: str = "month") -> DataFrame:
@@ -78,8 +78,7 @@ def visit_summary(
     purchase_flag, campaign_name, ad_impression_count.
 
     The source's purchase CTE is not grouped and so repeats each visit once per
-    event; here ``purchase_flag`` is the per-visit ``max`` (``visit_summary_fanout``
-    keeps the as-written shape for tests).
+    event; here ``purchase_flag`` is the per-visit ``max``.
     """
     e = (
         events.join(users.select("cookie_id", "user_id"), "cookie_id")
@@ -117,23 +116,16 @@ def visit_summary(
     )
 
 
-def match_campaigns(
-    visits: DataFrame, campaigns: DataFrame, day_col: str, how: str = "left", max_rows: int = 10_000
-) -> DataFrame:
+def match_campaigns(visits: DataFrame, campaigns: DataFrame, day_col: str, how: str = "left") -> DataFrame:
     """Campaign(s) whose ``[start_date, end_date]`` holds the visit day.
 
-    A bounded campaign table is broadcast (nested-loop range join on the already
-    aggregated visits).  A large one is expanded to one row per campaign day and
-    equi-joined on the day.
+    Each campaign is expanded to its days and joined on the day; the exact range stays
+    part of the condition.
     """
-    c = campaigns.select("campaign_name", "start_date", "end_date")
-    if has_at_most(c, max_rows):
-        cond = F.col(day_col).between(F.col("start_date"), F.col("end_date"))
-        return visits.join(F.broadcast(c), cond, how).drop("start_date", "end_date")
-    days = c.select(
-        "campaign_name", F.explode(F.sequence("start_date", "end_date")).alias("_day")
-    )
-    return visits.join(days, F.col(day_col) == F.col("_day"), how).drop("_day")
+    c = campaigns.select("campaign_name", "start_date", "end_date").filter(F.col("start_date") <= F.col("end_date"))
+    days = c.withColumn("_day", F.explode(F.sequence(F.col("start_date").cast("date"), F.col("end_date").cast("date"))))
+    cond = (F.col(day_col).cast("date") == F.col("_day")) & F.col(day_col).between(F.col("start_date"), F.col("end_date"))
+    return visits.join(days, cond, how).drop("_day", "start_date", "end_date")
 
 
 def category_funnel(events: DataFrame, event_names: DataFrame, pages: DataFrame, level: str) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -126,24 +126,19 @@ def impact_all_dims(
         "_period", label_periods(period_col, before, after)
     )
     base = base.select(*[F.col(d).cast("string").alias(d) for d in dims], "_period", x.alias("_x"))
-    view = f"_impact_{abs(hash(tuple(dims))) % 10**8}"
-    base.createOrReplaceTempView(view)
-    sets = ", ".join(f"({d})" for d in dims)
-    which = " ".join(f"WHEN grouping({d}) = 0 THEN '{d}'" for d in dims)
-    value = "coalesce(" + ", ".join(f"CASE WHEN grouping({d}) = 0 THEN {d} END" for d in dims) + ")"
-    spark: SparkSession = df.sparkSession
-    agg = spark.sql(
-        f"""
-        SELECT CASE {which} END AS dimension,
-               {value} AS value,
-               sum(CASE WHEN _period = 'after' THEN _x END) AS after_total,
-               sum(CASE WHEN _period = 'before' THEN _x END) AS before_total,
-               count_if(_period = 'after') AS n_after,
-               count_if(_period = 'before') AS n_before
-        FROM {view}
-        GROUP BY GROUPING SETS ({sets})
-        """
+    is_after, is_before = F.col("_period") == "after", F.col("_period") == "before"
+    agg = base.groupingSets([[d] for d in dims], *dims).agg(
+        *[F.grouping(d).alias(f"_g_{d}") for d in dims],
+        F.sum(F.when(is_after, F.col("_x"))).alias("after_total"),
+        F.sum(F.when(is_before, F.col("_x"))).alias("before_total"),
+        F.count_if(is_after).alias("n_after"),
+        F.count_if(is_before).alias("n_before"),
     )
+    kept = {d: F.col(f"_g_{d}") == 0 for d in dims}
+    agg = agg.withColumns({
+        "dimension": F.coalesce(*[F.when(k, F.lit(d)) for d, k in kept.items()]),
+        "value": F.coalesce(*[F.when(k, F.col(d)) for d, k in kept.items()]),
+    })
     return agg.filter((F.col("n_after") > 0) & (F.col("n_before") > 0)).select(
         "dimension",
         "value",
@@ -195,6 +190,7 @@ def period_totals(
     grouped = (
         df.filter(F.col(period_col).between(lo, hi))
         .withColumn("time_period", label_periods(period_col, before, after))
+        .filter(F.col("time_period").isNotNull())  # periods between the two windows
         .groupBy("time_period")
         .agg(F.sum(measure).alias("_total"))
     )

@@ -6,7 +6,9 @@ Catalyst/AQE (sort-merge or shuffled hash, with AQE's skew-join split).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 100_000
@@ -24,45 +26,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 def join_aggregate(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join a per-group aggregate (ranges, offsets, class sizes: one row per group or
-    per group and bucket) back to its rows.
+    per group and bucket) back to its rows.  A NULL key is a group like any other.
 
     No explicit broadcast and no size-probing job: that probe would aggregate the whole
     input once more.  With AQE the aggregate's shuffle stage is measured when it
     finishes and the join becomes a broadcast hash join if it is small, else it stays
     a shuffle join.
     """
-    return df.join(small, on, how)
-
-
-def with_lookup(
-    df: DataFrame,
-    lookup: DataFrame,
-    on: str | list[str] | Column,
-    how: str = "inner",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Equi join to a dimension, broadcast when the dimension is small."""
-    return df.join(bounded_broadcast(lookup, max_rows), on, how)
-
-
-def match_interval(
-    points: DataFrame,
-    intervals: DataFrame,
-    point_col: str,
-    start_col: str,
-    end_col: str,
-    max_rows: int = 10_000,
-) -> DataFrame:
-    """Inner range join ``point between start and end`` (both ends closed).
-
-    Few intervals: broadcast them (a broadcast nested-loop join, no shuffle of
-    ``points``).  Many intervals: expand each interval to its days and equi-join on
-    the day, which Spark runs as a hash join that scales with both sides.
-    """
-    if has_at_most(intervals, max_rows):
-        cond = F.col(point_col).between(F.col(start_col), F.col(end_col))
-        return points.join(F.broadcast(intervals), cond, "inner")
-    days = intervals.withColumn(
-        "_day", F.explode(F.sequence(F.col(start_col).cast("date"), F.col(end_col).cast("date")))
-    )
-    return points.join(days, F.col(point_col).cast("date") == F.col("_day"), "inner").drop("_day")
+    keys = [on] if isinstance(on, str) else list(on)
+    side = small.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    return df.join(side, reduce(lambda a, b: a & b, same), how).drop(*[f"_key_{k}" for k in keys])

@@ -14,14 +14,11 @@ Scale notes
 
 from __future__ import annotations
 
-import math
 import random
 from collections.abc import Callable, Sequence
 
 import numpy as np
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -165,76 +162,82 @@ def hard_label_auc(pred: DataFrame, label: str = "label", prediction: str = "pre
     return g.select("cls", tpr.alias("tpr"), fpr.alias("fpr"), ((tpr + 1 - fpr) / 2).alias("auc"))
 
 
-def roc_auc(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str] = (),
-            buckets: int = BUCKETS) -> DataFrame:
-    """Exact ROC AUC (Mann-Whitney, ties count one half) per group.
+def _score_counts(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str], buckets: int) -> DataFrame:
+    """Per group and distinct score ``_s``: positives and negatives with it (``_pos``, ``_neg``), with a
+    smaller one (``_pos_below``, ``_neg_below``) and in all (``_np``, ``_nn``).
 
-    1. counts of positives / negatives per distinct score (partial aggregation);
-    2. negatives strictly below each score = offset of its score-range bucket + prefix
-       inside the bucket (bucket offsets from a tiny table, so no global window);
-    3. ``AUC = sum_pos(neg_below + neg_equal / 2) / (n_pos * n_neg)``.
+    Rows are first counted per distinct score (partial aggregation). Scores fall into ranges of
+    equal width; the ranges' counts are prefix-summed and sums inside a range come from a window over
+    its distinct scores only.
     """
-    d = scored.select(*by, score.cast("double").alias("_s"), is_positive.cast("int").alias("_y"))
-    per = d.groupBy(*by, "_s").agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg"))
-    rng = per.groupBy(*by).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
-    per = join_aggregate(per, rng, list(by)) if by else per.withColumn("_one", F.lit(1)).join(
-        F.broadcast(rng.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    one = F.lit(1).alias("_one")
+    keys = [*by, "_one"]
+    d = scored.select(*by, one, score.cast("double").alias("_s"), is_positive.cast("int").alias("_y"))
+    per = d.groupBy(*keys, "_s").agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg"))
+    whole = per.groupBy(*keys).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"),
+                                   F.sum("_pos").alias("_np"), F.sum("_neg").alias("_nn"))
+    per = join_aggregate(per, whole, keys)
     width = (F.col("_hi") - F.col("_lo")) / buckets
-    per = per.withColumn("_b", F.when(width > 0, F.least(F.floor((F.col("_s") - F.col("_lo")) / width),
-                                                         F.lit(buckets - 1))).otherwise(0).cast("int"))
-    bt = per.groupBy(*by, "_b").agg(F.sum("_neg").alias("_bn"))
-    prev_b = W.partitionBy(*by).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    bt = bt.select(*by, "_b", F.coalesce(F.sum("_bn").over(prev_b), F.lit(0)).alias("_off"))
-    per = join_aggregate(per, bt, [*by, "_b"])
-    prev_s = W.partitionBy(*by, "_b").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
-    per = per.withColumn("_below", F.col("_off") + F.coalesce(F.sum("_neg").over(prev_s), F.lit(0)))
-    agg = per.groupBy(*by).agg(
-        F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0)).alias("_u"),
+    place = F.least(F.floor((F.col("_s") - F.col("_lo")) / width), F.lit(buckets - 1))
+    per = per.withColumn("_b", F.when(width > 0, place).otherwise(0).cast("int"))
+    before = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    sums = per.groupBy(*keys, "_b").agg(F.sum("_pos").alias("_bp"), F.sum("_neg").alias("_bn"))
+    sums = sums.select(*keys, "_b", F.coalesce(F.sum("_bp").over(before), F.lit(0)).alias("_op"),
+                       F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_on"))
+    per = join_aggregate(per, sums, [*keys, "_b"])
+    below = W.partitionBy(*keys, "_b").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
+    return per.select(
+        *by, "_s", "_pos", "_neg", "_np", "_nn",
+        (F.col("_op") + F.coalesce(F.sum("_pos").over(below), F.lit(0))).alias("_pos_below"),
+        (F.col("_on") + F.coalesce(F.sum("_neg").over(below), F.lit(0))).alias("_neg_below"),
+    )
+
+
+def roc_auc(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str] = (),
+            buckets: int = BUCKETS) -> DataFrame:
+    """Exact ROC AUC (Mann-Whitney, ties count one half) per group (M16):
+    ``sum over positives of (negatives below + negatives equal / 2) / (n_pos * n_neg)``."""
+    agg = _score_counts(scored, is_positive, score, by, buckets).groupBy(*by).agg(
+        F.sum(F.col("_pos") * (F.col("_neg_below") + F.col("_neg") / 2.0)).alias("_u"),
         F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"),
     )
     return agg.select(*by, "n_pos", "n_neg",
                       (F.col("_u") / (F.col("n_pos").cast("double") * F.col("n_neg").cast("double"))).alias("auc"))
 
 
-def roc_curve(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str] = (),
-              points: int = 100) -> DataFrame:
-    """ROC points at ``points`` score quantiles per group: (threshold, tpr, fpr).
-    Rows are bucketed against the (small) threshold list and counted; cumulative
-    counts run over at most ``points`` rows per group."""
-    d = scored.select(*by, score.cast("double").alias("_s"), is_positive.cast("int").alias("_y"))
-    qs = [i / points for i in range(points)]
-    th = d.groupBy(*by).agg(F.percentile_approx("_s", qs, 10000).alias("_th"),
-                            F.sum("_y").alias("_np"), F.sum(1 - F.col("_y")).alias("_nn"))
-    j = join_aggregate(d, th, list(by)) if by else d.withColumn("_one", F.lit(1)).join(
-        F.broadcast(th.withColumn("_one", F.lit(1))), "_one").drop("_one")
-    j = j.withColumn("_k", F.expr("size(filter(_th, t -> t <= _s))"))
-    cnt = j.groupBy(*by, "_k", "_np", "_nn", "_th").agg(F.sum("_y").alias("_p"), F.sum(1 - F.col("_y")).alias("_n"))
-    above = W.partitionBy(*by).orderBy(F.col("_k").desc()).rowsBetween(W.unboundedPreceding, 0)
-    cnt = cnt.withColumns({"_cp": F.sum("_p").over(above), "_cn": F.sum("_n").over(above)})
-    return cnt.select(
-        *by,
-        F.element_at("_th", F.greatest(F.col("_k"), F.lit(1))).alias("threshold"),
-        (F.col("_cp") / F.col("_np")).alias("tpr"),
-        (F.col("_cn") / F.col("_nn")).alias("fpr"),
+def _roc_segments(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str], buckets: int) -> DataFrame:
+    """Per group and distinct score, the curve's step from ``(fpr0, tpr0)``, where only higher scores are
+    taken, to ``(fpr, tpr)``, where this one is too. A rate without rows to count is NULL."""
+    per = _score_counts(scored, is_positive, score, by, buckets)
+    p, n = F.col("_np") - F.col("_pos_below"), F.col("_nn") - F.col("_neg_below")
+    return per.select(
+        *by, F.col("_s").alias("threshold"),
+        F.try_divide(p, F.col("_np")).alias("tpr"), F.try_divide(n, F.col("_nn")).alias("fpr"),
+        F.try_divide(p - F.col("_pos"), F.col("_np")).alias("tpr0"), F.try_divide(n - F.col("_neg"), F.col("_nn")).alias("fpr0"),
     )
 
 
-def macro_roc(curves: dict[str, tuple[np.ndarray, np.ndarray]], grid: int = 100) -> tuple[np.ndarray, np.ndarray]:
-    """Macro-average ROC: each class's TPR interpolated on a common FPR grid.
-    Runs on the <= ``points`` collected curve points per class."""
-    fpr_grid = np.linspace(0.0, 1.0, grid)
-    tprs = []
-    for fpr, tpr in curves.values():
-        order = np.lexsort((tpr, fpr))
-        tprs.append(np.interp(fpr_grid, np.asarray(fpr)[order], np.asarray(tpr)[order]))
-    return fpr_grid, np.mean(tprs, axis=0)
+def roc_curve(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str] = (),
+              buckets: int = BUCKETS) -> DataFrame:
+    """The exact ROC curve: one point ``threshold, tpr, fpr`` per group and distinct score."""
+    return _roc_segments(scored, is_positive, score, by, buckets).drop("tpr0", "fpr0")
 
 
-# --------------------------------------------------------------------------- models
+def macro_roc(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str], grid: int = 100,
+              buckets: int = BUCKETS) -> DataFrame:
+    """Macro-average ROC ``fpr, macro_tpr``: every group's curve is interpolated at ``grid`` even rates
+    from 0 to 1 and averaged (M16, M27). At a vertical step the curve's upper end counts."""
+    seg = _roc_segments(scored, is_positive, score, by, buckets)
+    first, last = F.ceil(F.col("fpr0") * (grid - 1)), F.floor(F.col("fpr") * (grid - 1))
+    at = seg.withColumn("_i", F.explode(F.when(first <= last, F.sequence(first, last))))
+    x = F.col("_i") / F.lit(float(grid - 1))
+    slope = F.try_divide(F.col("tpr") - F.col("tpr0"), F.col("fpr") - F.col("fpr0"))
+    y = F.when(F.col("fpr") > F.col("fpr0"), F.col("tpr0") + (x - F.col("fpr0")) * slope).otherwise(F.col("tpr"))
+    per = at.groupBy(*by, "_i").agg(F.max(y).alias("_y"))
+    return per.groupBy("_i").agg(F.avg("_y").alias("macro_tpr")).select(x.alias("fpr"), "macro_tpr")
 
-def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
 
+# --------------------------------------------------------------------------- models
 
 def ovr_gbt(max_iter: int = 20, max_depth: int = 5, step_size: float = 0.1, subsampling_rate: float = 0.8,
             min_info_gain: float = 0.0, feature_subset: str = "all", seed: int = 42) -> OneVsRest:
@@ -337,11 +340,3 @@ def _count_splits(node, counts) -> None:
 
 def logistic(reg: float = 0.0, max_iter: int = 100) -> LogisticRegression:
     return LogisticRegression(regParam=reg, maxIter=max_iter)
-
-
-def fit_pipeline(stages: list, df: DataFrame):
-    return Pipeline(stages=stages).fit(df)
-
-
-def sigmoid(x: float) -> float:
-    return 1.0 / (1.0 + math.exp(-x))

@@ -9,8 +9,6 @@ behind a size check.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -195,12 +193,3 @@ def lead_bin(c: str) -> Column:
 
 def price_bin(c: str) -> Column:
     return bin_right_closed(c, PRICE_BIN_EDGES, PRICE_BIN_LABELS)
-
-
-def share_in(score: Column, x: Column, low: int = 4) -> Column:
-    """``sum(x where score >= low) / sum(x)``."""
-    return F.sum(F.when(score >= low, x)) / F.sum(x)
-
-
-def mean_by(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    return df.groupBy(*by).agg(*[F.avg(c).alias(f"mean_{c}") for c in cols])

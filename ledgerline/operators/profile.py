@@ -1,7 +1,8 @@
 """Table profiling and data-quality checks (A18-A24, A30, A31, F5, F8, F9, EC1).
 
-Every profile is ONE aggregate pass over the table (all columns at once), then a
-stack into long format on the single result row; nothing is looped on the driver.
+A table profile is one aggregate pass over the table (all columns at once), then a
+stack into long format on the single result row; quantiles and box statistics take
+several aggregates each.  Nothing is looped on the driver.
 Exact distinct counts are the default (the source's ``nunique``); pass
 ``approx=True`` for wide profiles of very large tables (HyperLogLog++, ~1% error).
 """
@@ -137,7 +138,7 @@ def describe(
             g = df.groupBy(*by).agg(*base) if by else df.agg(*base)
             q = exact_quantiles(df, c, by, [0.25, 0.5, 0.75]).select(
                 *by, F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
-            g = g.join(q, list(by), "left") if by else g.withColumn("_one", F.lit(1)).join(
+            g = join_aggregate(g, q, list(by), "left") if by else g.withColumn("_one", F.lit(1)).join(
                 F.broadcast(q.withColumn("_one", F.lit(1))), "_one", "left").drop("_one")
         else:
             qa = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000)
@@ -179,8 +180,8 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Box-plot numbers per group: linear quartiles, 1.5 IQR whisker bounds, whisker
     ends (most extreme values inside the bounds) and the outlier count (A30).
 
-    Exact distributed quantiles, then one join back to the rows to count outliers
-    and find the whisker ends; the join key is the group, whose quantile row is tiny.
+    Exact distributed quantiles, then one join back to the distinct values and their
+    counts (not the rows) to count outliers and find the whisker ends.
     """
     x = F.col(value).cast("double")
     q = exact_quantiles(df, value, by, [0.25, 0.5, 0.75]).select(
@@ -191,14 +192,15 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
             "upper_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")),
         }
     )
-    j = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull()).join(q, list(by), "inner")
+    values = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull()).groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    j = join_aggregate(values, q, by)
     inside = F.col("_x").between(F.col("lower_fence"), F.col("upper_fence"))
     ext = j.groupBy(*by).agg(
         F.min(F.when(inside, F.col("_x"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_x"))).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"),
+        F.sum(F.when(~inside, F.col("_c")).otherwise(0)).alias("n_outliers"),
     )
-    return q.join(ext, list(by), "left")
+    return join_aggregate(q, ext, by, "left")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.ml import confusion, fixed_size_sample
+from ledgerline.operators.ml import confusion, fixed_size_sample, uniform_hash
 from ledgerline.operators.profile import box_stats
 from ledgerline.operators.stats import (
     canonical_scores,
@@ -118,11 +118,11 @@ def in4_group_means(spark: SparkSession, d: str) -> DataFrame:
 
 def _lda(spark, d, test_rows: int = 1000, seed: int = 2):
     c = claims_recoded(spark, d).withColumn("label", F.col("Claim_Amount_Indicator"))
-    test = fixed_size_sample(c, ["claim_order", "claim_line", "claim_part"], test_rows, seed)
-    train = c.join(test.select("claim_order", "claim_line", "claim_part"), ["claim_order", "claim_line", "claim_part"],
-                   "left_anti")
-    model = lda_fit(train, "label", LDA_VARS)
-    return lda_predict(test, LDA_VARS, model)
+    # the test rows are those with the smallest hashes of all columns; repeated rows stay together
+    u = uniform_hash(c.columns, seed)
+    cut = fixed_size_sample(c, c.columns, test_rows, seed).agg(F.max(u)).first()[0]
+    model = lda_fit(c.filter(u > cut), "label", LDA_VARS)
+    return lda_predict(c.filter(u <= cut), LDA_VARS, model)
 
 
 def in5_lda_confusion(spark: SparkSession, d: str) -> DataFrame:

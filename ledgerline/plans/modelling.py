@@ -14,7 +14,7 @@ import math
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import LDA, KMeans
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
@@ -216,27 +216,21 @@ def ml_baseline_hard_auc(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ml_baseline_score_auc(spark: SparkSession, d: str) -> DataFrame:
+    return roc_auc(_one_vs_rest(spark, d), F.col("label") == F.col("cls"), F.col("score"), by=["cls"])
+
+
+def _one_vs_rest(spark, d):
     b = _baseline(spark, d)
-    stacked = b.select("score", "label", F.explode(F.array(F.lit("A"), F.lit("N"), F.lit("R"))).alias("cls"))
-    return roc_auc(stacked, F.col("label") == F.col("cls"), F.col("score"), by=["cls"])
+    return b.select("score", "label", F.explode(F.array(F.lit("A"), F.lit("N"), F.lit("R"))).alias("cls"))
 
 
 def ml_baseline_macro_roc(spark: SparkSession, d: str) -> DataFrame:
-    """Macro-average ROC of the baseline on a 100-point FPR grid (M16, M27): per-class
-    curves (<= 20 points each) are aggregated in Spark, interpolated on the driver."""
-    curves: dict = {}
-    for r in ml_baseline_roc_curve(spark, d).collect():  # classes x 20 points
-        c = curves.setdefault(r.cls, ([], []))
-        c[0].append(r.fpr)
-        c[1].append(r.tpr)
-    grid, tpr = macro_roc({k: (np.array(v[0] + [0.0, 1.0]), np.array(v[1] + [0.0, 1.0])) for k, v in curves.items()})
-    return spark.createDataFrame([(float(f), float(t)) for f, t in zip(grid, tpr)], "fpr double, macro_tpr double")
+    """Macro-average ROC of the baseline at 100 false-positive rates."""
+    return macro_roc(_one_vs_rest(spark, d), F.col("label") == F.col("cls"), F.col("score"), by=["cls"])
 
 
 def ml_baseline_roc_curve(spark: SparkSession, d: str) -> DataFrame:
-    b = _baseline(spark, d)
-    stacked = b.select("score", "label", F.explode(F.array(F.lit("A"), F.lit("N"), F.lit("R"))).alias("cls"))
-    return roc_curve(stacked, F.col("label") == F.col("cls"), F.col("score"), by=["cls"], points=20)
+    return roc_curve(_one_vs_rest(spark, d), F.col("label") == F.col("cls"), F.col("score"), by=["cls"])
 
 
 # --------------------------------------------------------------------------- documents: logistic, topics
@@ -253,7 +247,7 @@ def doc_table(spark: SparkSession, d: str) -> DataFrame:
     n = F.greatest(F.length(t), F.lit(1))
     words = F.size(F.split(F.trim(t), r"\s+"))
     feats = docs.select(
-        "doc_id", "text",
+        "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
         words.cast("double").alias("n_words"),
         F.size(F.split(t, "\n")).cast("double").alias("n_lines"),
@@ -327,14 +321,17 @@ def t9_logistic_report(spark: SparkSession, d: str) -> DataFrame:
     return _report_both(model, train, test)
 
 
-def _topics(spark, d, k: int = 5):
+def _topics(spark, d, k: int = 5, min_token: int = 3):
+    """Topics over all terms of all documents; tokens shorter than ``min_token`` letters are no terms.
+    The driver holds the vocabulary, as ``CountVectorizer`` does."""
     docs = load_table(spark, d, "documents").select("doc_id", "text")
-    tok = RegexTokenizer(inputCol="text", outputCol="tokens", pattern=r"[^\p{L}]+", minTokenLength=3)
+    tok = RegexTokenizer(inputCol="text", outputCol="tokens", pattern=r"[^\p{L}]+", minTokenLength=min_token)
     sw = StopWordsRemover(inputCol="tokens", outputCol="words")
     words = sw.transform(tok.transform(docs))
-    cv = CountVectorizer(inputCol="words", outputCol="tf", vocabSize=2000, minDF=2.0).fit(words)
+    terms = words.select(F.explode("words")).distinct().count()
+    cv = CountVectorizer(inputCol="words", outputCol="tf", vocabSize=max(terms, 1), minDF=1.0).fit(words)
     tf = cv.transform(words)
-    lda = LDA(k=k, maxIter=10, seed=SEED, featuresCol="tf", optimizer="online").fit(tf)
+    lda = LDA(k=k, maxIter=10, seed=SEED, featuresCol="tf", optimizer="online", subsamplingRate=1.0).fit(tf)
     return cv, lda, lda.transform(tf)
 
 
@@ -355,17 +352,17 @@ def t10_doc_topics(spark: SparkSession, d: str) -> DataFrame:
                        F.array_max(arr).alias("topic_weight"))
 
 
-def t11_cluster_terms(spark: SparkSession, d: str, k: int = 6) -> DataFrame:
-    """Cluster the given embeddings (k-means) and describe each cluster by class-based
-    TF-IDF over the texts of its documents (T11): ``tf(t, c) / words(c) *
-    log(1 + mean words per cluster / total frequency of t)``; top 10 terms each."""
-    emb = load_table(spark, d, "embeddings")
-    data = emb.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    clusters = KMeans(k=k, seed=SEED, maxIter=20).fit(data).transform(data).select(
-        F.col("vec_id").alias("doc_id"), F.col("prediction").alias("cluster"))
-    docs = load_table(spark, d, "documents").select("doc_id", "text").join(clusters, "doc_id")
-    words = docs.select("cluster", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("term")).filter(
-        F.length("term") >= 3)
+def t11_cluster_terms(spark: SparkSession, d: str, k: int = 6, min_token: int = 3, buckets: int = 1024) -> DataFrame:
+    """Cluster all documents (k-means over hashed, normalised term counts of their own tokens) and describe each
+    cluster by class-based TF-IDF (T11): ``tf(t, c) / words(c) * log(1 + mean words per cluster / total
+    frequency of t)``; top 10 terms each. Tokens shorter than ``min_token`` letters are no terms."""
+    docs = load_table(spark, d, "documents")
+    tokens = F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")
+    docs = docs.select("doc_id", F.filter(tokens, lambda t: F.length(t) >= min_token).alias("tokens"))
+    counted = HashingTF(inputCol="tokens", outputCol="counts", numFeatures=buckets).transform(docs)
+    data = Normalizer(inputCol="counts", outputCol="features").transform(counted)
+    clusters = KMeans(k=k, seed=SEED, maxIter=20).fit(data).transform(data)
+    words = clusters.select(F.col("prediction").alias("cluster"), F.explode("tokens").alias("term"))
     tf = words.groupBy("cluster", "term").agg(F.count(F.lit(1)).alias("tf"))
     per_c = tf.groupBy("cluster").agg(F.sum("tf").alias("wc"))
     per_t = tf.groupBy("term").agg(F.sum("tf").alias("ft"))

@@ -31,6 +31,17 @@ mf AS (
 )
 """
 
+SEGMENTS = BASE + """
+, s AS (SELECT c.cls, CAST(b.score AS DOUBLE) AS score, CAST(b.label = c.cls AS INTEGER) AS y
+        FROM b, (VALUES ('A'), ('N'), ('R')) c(cls))
+, cnt AS (SELECT cls, score, sum(y) AS p, sum(1 - y) AS n FROM s GROUP BY 1, 2)
+, cum AS (SELECT cls, score, p, n, sum(p) OVER (PARTITION BY cls ORDER BY score DESC) AS cp,
+                 sum(n) OVER (PARTITION BY cls ORDER BY score DESC) AS cn,
+                 sum(p) OVER (PARTITION BY cls) AS np, sum(n) OVER (PARTITION BY cls) AS nn FROM cnt)
+, seg AS (SELECT cls, score, CAST(cp AS DOUBLE) / np AS tpr, CAST(cn AS DOUBLE) / nn AS fpr,
+                 CAST(cp - p AS DOUBLE) / np AS tpr0, CAST(cn - n AS DOUBLE) / nn AS fpr0 FROM cum)
+"""
+
 ML_SQL: dict[str, str] = {
     "ml_baseline_confusion": BASE + "SELECT label, prediction, count FROM cm",
     "ml_baseline_report": BASE + """
@@ -61,5 +72,12 @@ FROM per, t
 SELECT cls, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg,
        (rs - n_pos * (n_pos + 1) / 2.0) / (CAST(n_pos AS DOUBLE) * n_neg) AS auc
 FROM g
+""",
+    "ml_baseline_roc_curve": SEGMENTS + "SELECT cls, score AS threshold, tpr, fpr FROM seg",
+    "ml_baseline_macro_roc": SEGMENTS + """
+, g AS (SELECT cls, i, max(CASE WHEN fpr > fpr0
+                                THEN tpr0 + (CAST(i AS DOUBLE) / 99 - fpr0) * ((tpr - tpr0) / (fpr - fpr0)) ELSE tpr END) AS t
+        FROM seg, range(100) r(i) WHERE i >= ceil(fpr0 * 99) AND i <= floor(fpr * 99) GROUP BY 1, 2)
+SELECT CAST(i AS DOUBLE) / 99 AS fpr, avg(t) AS macro_tpr FROM g GROUP BY i
 """,
 }

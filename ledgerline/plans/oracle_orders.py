@@ -214,7 +214,7 @@ FROM b GROUP BY bin, lo, hi
 """,
     "ec2_payment_count_distribution": _with(EC) + f"""
 , po AS (SELECT order_id, count(DISTINCT payment_sequential) AS payment_count, sum(payment_value) AS v
-         FROM ec_payments WHERE payment_type <> 'not_defined' GROUP BY 1)
+         FROM ec_payments WHERE payment_type IS DISTINCT FROM 'not_defined' GROUP BY 1)
 , g AS (SELECT payment_count, count(*) AS order_count, sum(v) AS v FROM po GROUP BY 1)
 , t AS (SELECT sum(order_count) AS orders FROM g)
 SELECT payment_count, order_count, CAST(v AS DOUBLE) AS total_payment_value,
@@ -223,18 +223,29 @@ FROM g, t ORDER BY 1
 """,
     "ec3_payment_type_by_sequence": _with(EC) + """
 SELECT payment_sequential, payment_type, count(payment_value) AS n_payments FROM ec_payments
-WHERE payment_type <> 'not_defined' AND payment_sequential IN (1, 2) GROUP BY 1, 2
+WHERE payment_type IS DISTINCT FROM 'not_defined' AND payment_sequential IN (1, 2) GROUP BY 1, 2
 """,
     "ec4_installment_distribution": _with(EC) + """
 SELECT payment_installments, count(*) AS n_payments FROM ec_payments
-WHERE payment_type <> 'not_defined' AND payment_installments <> 0 GROUP BY 1 ORDER BY 1
+WHERE payment_type IS DISTINCT FROM 'not_defined' AND payment_installments IS DISTINCT FROM 0 GROUP BY 1 ORDER BY 1
 """,
     "ec5_payment_totals_by_type": _with(EC) + """
-, p AS (SELECT * FROM ec_payments WHERE payment_type <> 'not_defined')
+, p AS (SELECT * FROM ec_payments WHERE payment_type IS DISTINCT FROM 'not_defined')
 , tot AS (SELECT payment_type, CAST(sum(payment_value) AS DOUBLE) AS total_payment_value FROM p GROUP BY 1)
 , d AS (""" + _describe_cols("p", ["payment_value"], by="payment_type") + """)
 SELECT tot.payment_type, total_payment_value, count, mean, std, min, p25, p50, p75, max
 FROM tot JOIN d USING (payment_type)
+""",
+    "ec5_order_value_describe": _with(EC) + """
+, p AS (SELECT order_id, sum(payment_value) AS order_value FROM ec_payments
+        WHERE payment_type IS DISTINCT FROM 'not_defined' GROUP BY 1)
+, d AS (""" + _describe_cols("p", ["order_value"]) + """)
+SELECT d.*, (SELECT CAST(sum(order_value) AS DOUBLE) FROM p) AS grand_total FROM d
+""",
+    "ec5_describe_by_type_and_installments": _with(EC) + """
+, p AS (SELECT * FROM ec_payments WHERE payment_type IS DISTINCT FROM 'not_defined')
+, d AS (""" + _describe_cols("p", ["payment_value"], by="payment_type, payment_installments") + """)
+SELECT * EXCLUDE (column_name) FROM d
 """,
     "ec6_order_payment_features": _with(EC) + """
 SELECT order_id, total_payments_method, CAST(total_payment_value AS DOUBLE) AS total_payment_value,
@@ -310,7 +321,7 @@ GROUP BY 1 ORDER BY total_reviews DESC, 1 LIMIT 10
     "ec17_top10_by_count": _with(EC) + _CAT_SCORES + "SELECT * FROM cs ORDER BY n_reviews DESC, 1 LIMIT 10",
     "ec17_bottom10_by_mean": _with(EC) + _CAT_SCORES + "SELECT * FROM cs ORDER BY mean_score ASC, 1 LIMIT 10",
     "ec17_top5_std_share": _with(EC) + _CAT_SCORES + f"""
-, t AS (SELECT sum(n_reviews) AS a FROM cs)
+, t AS (SELECT count(*) AS a FROM ec_model)
 SELECT product_category_name_english, std_score, n_reviews, {rhu_double('n_reviews', 'a', 4, 100, 0)} AS pct_of_orders
 FROM cs, t ORDER BY std_score DESC NULLS LAST, 1 LIMIT 5
 """,
@@ -330,6 +341,11 @@ FROM ec_model_ext GROUP BY 1
     "ec19_score_by_same_state": _with(EC) + "SELECT state_is_equal, avg(review_score) AS mean_score FROM ec_model GROUP BY 1",
     "ec20_customers_sellers_by_score": _with(EC) + """
 SELECT review_score, count(customer_id) AS n_customers, count(seller_id) AS n_sellers FROM ec_model GROUP BY 1
+""",
+    "ec20_share_in_top_scores": _with(EC) + f"""
+, s AS (SELECT count(CASE WHEN review_score >= 4 THEN customer_id END) AS c, count(customer_id) AS nc,
+               count(CASE WHEN review_score >= 4 THEN seller_id END) AS s, count(seller_id) AS ns FROM ec_model)
+SELECT {rhu_double('c', 'nc', 4, 100, 0)} AS pct_customers, {rhu_double('s', 'ns', 4, 100, 0)} AS pct_sellers FROM s
 """,
     "ec21_neutral_vs_positive_leads": _with(EC, MODEL_EXT) + "SELECT review_class, " + ", ".join(
         f"avg({c}) AS mean_{c}" for c in LEADS) + " FROM ec_model_ext WHERE review_category IN (1, 2) GROUP BY 1",

@@ -76,7 +76,7 @@ def ec1_payment_value_histogram(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _payments(spark, d):
-    return S.ec_payments(spark, d).filter(F.col("payment_type") != "not_defined")
+    return S.ec_payments(spark, d).filter(~F.col("payment_type").eqNullSafe("not_defined"))
 
 
 def ec2_payment_count_distribution(spark: SparkSession, d: str) -> DataFrame:
@@ -102,7 +102,7 @@ def ec3_payment_type_by_sequence(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ec4_installment_distribution(spark: SparkSession, d: str) -> DataFrame:
-    p = _payments(spark, d).filter(F.col("payment_installments") != 0)
+    p = _payments(spark, d).filter(~F.col("payment_installments").eqNullSafe(0))
     return p.groupBy("payment_installments").agg(F.count(F.lit(1)).alias("n_payments")).orderBy(
         "payment_installments"
     )
@@ -115,6 +115,19 @@ def ec5_payment_totals_by_type(spark: SparkSession, d: str) -> DataFrame:
     return tot.join(desc, "payment_type")
 
 
+def ec5_order_value_describe(spark: SparkSession, d: str) -> DataFrame:
+    """Describe the orders' payment totals, with the grand total."""
+    per_order = _payments(spark, d).groupBy("order_id").agg(F.sum("payment_value").alias("order_value"))
+    total = per_order.agg(F.sum("order_value").cast("double").alias("grand_total")).withColumn("_one", F.lit(1))
+    desc = describe(per_order, ["order_value"]).withColumn("_one", F.lit(1))
+    return desc.join(F.broadcast(total), "_one").drop("_one")
+
+
+def ec5_describe_by_type_and_installments(spark: SparkSession, d: str) -> DataFrame:
+    keys = ["payment_type", "payment_installments"]
+    return describe(_payments(spark, d), ["payment_value"], by=keys).drop("column_name")
+
+
 def ec6_order_payment_features(spark: SparkSession, d: str) -> DataFrame:
     f = payment_features(_payments(spark, d))
     return f.withColumn("total_payment_value", F.col("total_payment_value").cast("double"))
@@ -219,15 +232,20 @@ def ec16_category_review_pivot_top10(spark: SparkSession, d: str) -> DataFrame:
     return p.orderBy(F.col("total_reviews").desc(), "product_category_name_english").limit(10)
 
 
-def _category_scores(spark, d):
-    m = _model(spark, d).filter(F.col("product_category_name_english").isNotNull())
+def _scores_by_category(m: DataFrame) -> DataFrame:
     return m.groupBy("product_category_name_english").agg(
         F.avg("review_score").alias("mean_score"),
         F.count("review_id").alias("n_reviews"),
         F.stddev_samp("review_score").alias("std_score"),
+        F.count(F.lit(1)).alias("_rows"),
     )
 
 
+def _category_scores(spark, d):
+    m = _model(spark, d).filter(F.col("product_category_name_english").isNotNull())
+    return _scores_by_category(m).drop("_rows")
+
+
 def ec17_category_scores(spark: SparkSession, d: str) -> DataFrame:
     return _category_scores(spark, d)
 
@@ -241,8 +259,9 @@ def ec17_bottom10_by_mean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ec17_top5_std_share(spark: SparkSession, d: str) -> DataFrame:
-    s = _category_scores(spark, d)
-    s = with_total(s, "n_reviews", name="_all")
+    """The five categories whose scores vary most, and their share of all rows, those without a category included."""
+    s = with_total(_scores_by_category(_model(spark, d)), "_rows", name="_all")
+    s = s.filter(F.col("product_category_name_english").isNotNull())
     s = s.withColumn("pct_of_orders", exact_pct("n_reviews", "_all", 2))
     return s.select("product_category_name_english", "std_score", "n_reviews", "pct_of_orders").orderBy(
         F.col("std_score").desc_nulls_last(), "product_category_name_english"
@@ -282,6 +301,16 @@ def ec20_customers_sellers_by_score(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def ec20_share_in_top_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Percent of customers and of sellers among reviews with a score of 4 or 5."""
+    g = ec20_customers_sellers_by_score(spark, d)
+    top = F.col("review_score") >= 4
+    return g.agg(*[
+        exact_pct(F.sum(F.when(top, F.col(f"n_{x}")).otherwise(0)), F.sum(f"n_{x}"), 2).alias(f"pct_{x}")
+        for x in ("customers", "sellers")
+    ])
+
+
 def ec21_neutral_vs_positive_leads(spark: SparkSession, d: str) -> DataFrame:
     m = _model(spark, d).filter(F.col("review_category").isin(1, 2))
     return m.groupBy(review_class_name("review_category").alias("review_class")).agg(
@@ -322,6 +351,8 @@ QUERIES = {
     "ec3_payment_type_by_sequence": ec3_payment_type_by_sequence,
     "ec4_installment_distribution": ec4_installment_distribution,
     "ec5_payment_totals_by_type": ec5_payment_totals_by_type,
+    "ec5_order_value_describe": ec5_order_value_describe,
+    "ec5_describe_by_type_and_installments": ec5_describe_by_type_and_installments,
     "ec6_order_payment_features": ec6_order_payment_features,
     "ec6_payment_flag_shares": ec6_payment_flag_shares,
     "ec7_clean_products": ec7_clean_products,
@@ -346,6 +377,7 @@ QUERIES = {
     "ec19_payment_price_by_class": ec19_payment_price_by_class,
     "ec19_score_by_same_state": ec19_score_by_same_state,
     "ec20_customers_sellers_by_score": ec20_customers_sellers_by_score,
+    "ec20_share_in_top_scores": ec20_share_in_top_scores,
     "ec21_neutral_vs_positive_leads": ec21_neutral_vs_positive_leads,
     "ec22_score_by_lead_bin": ec22_score_by_lead_bin,
     "ec23_score_box_by_volume": ec23_score_box_by_volume,

@@ -38,20 +38,22 @@ def local_session(master: str | None = None, app: str = "ledgerline", **extra) -
     return spark
 
 
+_local_folders: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if none is configured."""
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir="/tmp")
-        try:
-            spark.conf.set("spark.checkpoint.dir", conf_dir)
-        except Exception:  # noqa: BLE001 - some deployments refuse runtime changes of core settings
-            pass
-    try:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. a remote session): the conf is used
-        pass
-    return conf_dir
+    """Set and return the shared checkpoint folder; a local master without one gets a folder of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+        folder = _local_folders[app]
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 @contextmanager
