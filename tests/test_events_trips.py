@@ -53,13 +53,14 @@ def test_visit_summary_traps(spark):
     assert not [r for r in out if r.visit_id == "v3"]
 
 
-def test_campaign_match_large_table_path(spark):
-    visits = spark.createDataFrame([("v", dt.date(2024, 1, 5))], "visit_id string, d date")
-    camps = spark.createDataFrame([("A", dt.date(2024, 1, 1), dt.date(2024, 1, 5))],
+def test_campaign_match_by_day_is_exact(spark):
+    camps = spark.createDataFrame([("A", dt.date(2024, 1, 1), dt.date(2024, 1, 5)), ("B", None, dt.date(2024, 1, 5)),
+                                   ("C", dt.date(2024, 1, 5), dt.date(2024, 1, 1))],
                                   "campaign_name string, start_date date, end_date date")
-    small = match_campaigns(visits, camps, "d").collect()
-    big = match_campaigns(visits, camps, "d", max_rows=0).collect()  # forces the day-explode join
-    assert [r.campaign_name for r in small] == [r.campaign_name for r in big] == ["A"]
+    visits = spark.createDataFrame([("v", dt.date(2024, 1, 5))], "visit_id string, d date")
+    assert [r.campaign_name for r in match_campaigns(visits, camps, "d").collect()] == ["A"]
+    late = spark.createDataFrame([("v", dt.datetime(2024, 1, 5, 15)), ("w", None)], "visit_id string, d timestamp")
+    assert [r.campaign_name for r in match_campaigns(late, camps, "d").collect()] == [None, None]
 
 
 def test_funnel_counts_and_dropoff(spark):
