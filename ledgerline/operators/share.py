@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerline.functions.columns import exact_ratio
+from ledgerline.operators.joins import join_aggregate
 
 
 def with_total(grouped: DataFrame, measure: str, within: Sequence[str] = (), name: str = "_total") -> DataFrame:
@@ -26,7 +27,7 @@ def with_total(grouped: DataFrame, measure: str, within: Sequence[str] = (), nam
         total = grouped.agg(F.sum(measure).alias(name)).withColumn("_one", F.lit(1))
         return grouped.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").drop("_one")
     totals = grouped.groupBy(*within).agg(F.sum(measure).alias(name))
-    return grouped.join(totals, list(within), "left")
+    return join_aggregate(grouped, totals, list(within), "left")
 
 
 def share_of_total(

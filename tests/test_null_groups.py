@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators.impact import period_totals
 from ledgerline.operators.ml import macro_roc, roc_auc, roc_curve, stratified_split
 from ledgerline.operators.profile import box_stats, describe
+from ledgerline.operators.share import with_total
 from ledgerline.operators.smote import smote
 
 
@@ -65,3 +66,8 @@ def test_roc_curve_against_brute_force(spark, buckets):
     macro = sorted((r.fpr, r.macro_tpr) for r in macro_roc(*args, buckets=buckets).collect())
     assert [f for f, _ in macro] == pytest.approx(grid)
     assert [t for _, t in macro] == pytest.approx(np.mean(curves, axis=0))
+
+
+def test_total_within_a_null_group(spark):
+    df = spark.createDataFrame([(None, "a", 1), (None, "b", 2), ("x", "a", 4)], "g string, k string, n long")
+    assert {(r.g, r.k): r["_total"] for r in with_total(df, "n", within=["g"]).collect()} == {(None, "a"): 3, (None, "b"): 3, ("x", "a"): 4}
