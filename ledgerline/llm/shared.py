@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Text bytes that one numpy step works on; a longer document is a step of its own.
 STEP_BYTES = 1 << 20
@@ -46,15 +47,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def mapped(df: DataFrame, step: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow(step, schema)`` after this library's code was sent to the executors (once per application)."""
+def mapped(df: DataFrame, step: Callable, schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow(step, schema)`` after this library's code was sent to the executors (once per application).
+
+    Python workers outlive their tasks; each task ends by giving the memory it freed back to the system.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from step(batches)
+        pa.default_memory_pool().release_unused()
+        pa.system_memory_pool().release_unused()
+
     context = df.sparkSession.sparkContext
     if context.applicationId not in _sent:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{os.path.basename(package)}", "zip", os.path.dirname(package), os.path.basename(package))
         context.addPyFile(archive)
         _sent.add(context.applicationId)
-    return df.mapInArrow(step, schema)
+    return df.mapInArrow(run, schema)
 
 
 def small_side(df: DataFrame, rows: int) -> DataFrame:
