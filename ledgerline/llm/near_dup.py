@@ -9,7 +9,7 @@ about one comparison per member and bucket. The last round compares all that are
 A candidate pair's signatures are compared 32 values at a time. With a uniform prior on the
 similarity, the chance that it reaches the threshold after m matches in n is that of at most m
 successes in n + 1 draws at the threshold; a pair is dropped when this is below ``miss``. What
-survives is verified on the full shingle sets.
+survives is verified on the full shingle sets; texts travel only for classes of surviving pairs.
 
 Rows: null, empty and blank texts have no shingles and link with nothing (component: their own id).
 Repeated rows are copies of each other. A null ``doc_id`` never names a component while its
@@ -166,6 +166,21 @@ def _tile_pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(a), np.concatenate(b)
 
 
+def _tile_sieve(threshold: float, miss: float):
+    """The rows of each tile pair that have a partner whose signature survives every step."""
+    steps = least_matches(threshold, miss)
+
+    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(batches, "g"):
+            a, b = _tile_pairs(rows)
+            sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), dtype="<u2").reshape(-1, HASHES)
+            a, b, _ = _sequential(sig, a, b, steps)
+            if len(a):
+                yield from rows.take(np.union1d(a, b)).combine_chunks().to_batches()
+
+    return sieve
+
+
 def _tile_linker(percent: int, miss: float):
     steps = least_matches(percent / 100, miss)
 
@@ -220,17 +235,19 @@ def linked(docs: DataFrame, percent: int = 85, miss: float = MISS) -> DataFrame:
     members = classes.select("cls", F.posexplode("bands").alias("band", "key"))
     shared = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(members.join(shared.drop("n"), ["band", "key"]), "members")
+    # what the rounds compare: only classes that share a bucket with another
+    active = stored(classes.join(members.select("cls").distinct(), "cls").select("cls", "rep", "sig", "bands"), "active")
 
     def texts(wanted: DataFrame) -> DataFrame:
         """``cls, text`` of the classes ``wanted(cls)``."""
-        needed = stored(wanted.distinct().join(classes, "cls").select("cls", "rep.doc_id", "rep.tkey"), "needed").toDF("cls", "rep_id", "rep_key")
+        needed = stored(wanted.distinct().join(active, "cls").select("cls", "rep.doc_id", "rep.tkey"), "needed").toDF("cls", "rep_id", "rep_key")
         own = source.doc_id.eqNullSafe(F.col("rep_id")) & (source.tkey == F.col("rep_key"))
         return stored(source.join(small_side(needed, BROADCAST_CLASSES), own).select("cls", "text"), "texts").dropDuplicates(["cls"])
 
     # first round: each class of a bucket against the bucket's leader
     first = members.groupBy("band", "key").agg(F.min("cls").alias("a"))
     pairs = first.join(members, ["band", "key"]).select("a", F.col("cls").alias("b")).where("a <> b").distinct()
-    sig = classes.select("cls", "sig")
+    sig = active.select("cls", "sig")
     both = pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
     left = stored(mapped(both, _pruner(percent / 100, miss), "a binary, b binary"), "survivors")
     full = texts(left.select(F.col("a").alias("cls")).union(left.select("b")))
@@ -245,10 +262,12 @@ def linked(docs: DataFrame, percent: int = 85, miss: float = MISS) -> DataFrame:
     )
     split = split.where("r <> s").groupBy("n", "h", "lo", "hi").agg(F.min(F.struct("band", "key")).alias("at")).select("at.*", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
     apart = stored(labelled.join(split, ["band", "key"]).withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")), "apart")
-    detail = classes.select("cls", "sig", "bands").join(texts(apart.select("cls")), "cls")
     spread = apart.withColumn("t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     spread = spread.withColumn("g", F.concat_ws(":", "band", "key", F.least("tile", "t"), F.greatest("tile", "t"))).drop("t", "tiles", "key")
-    tiles = spread.join(detail, "cls").repartition("g").sortWithinPartitions("g")
+    tiles = spread.join(active.drop("rep"), "cls").select("g", "cls", "root", "tile", "band", "sig", "bands").repartition("g").sortWithinPartitions("g")
+    # signatures decide first, so that only the texts of pairs that survive are sent to their tiles
+    near = stored(mapped(tiles, _tile_sieve(percent / 100, miss), tiles.schema), "near")
+    tiles = near.join(texts(near.select("cls")), "cls").repartition("g").sortWithinPartitions("g")
     links = stored(links.union(mapped(tiles, _tile_linker(percent, miss), "a binary, b binary")), "found")
 
     roots = connected_components(links)
