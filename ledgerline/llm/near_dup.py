@@ -299,7 +299,8 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80, miss: float = MISS)
     sourced = docs.withColumn("_tkey", F.xxhash64(F.coalesce("text", F.lit(""))))
     blank = ~F.coalesce("text", F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
     same = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("_tkey") == F.col("k_key"))
-    kept = sourced.join(keys, same).select(*docs.columns, "n")
+    # keys as many as the documents kept: dealt by key at every size; the narrow side is hashed, texts are not sorted
+    kept = sourced.join(keys.hint("shuffle_hash"), same).select(*docs.columns, "n")
     once = kept.where("n = 1").drop("n")
     repeated = kept.where("n > 1").drop("n").dropDuplicates(["doc_id", "text"])
     return once.unionByName(repeated).unionByName(docs.where(blank))
