@@ -1,9 +1,11 @@
 """Benchmark decontamination (operator 4): SimHash of item-sized windows, multi-index Hamming blocks, exact check.
 
 DataFrame functions only. A document window that shares no 5-word shingle with any benchmark item has
-similarity 0 to all of them, so only windows on a shared shingle are looked at: a shingle at place p of
-the document and place o of an item of n words gives the window of n words that starts at p - o
-(moved into the document at its ends). Each window gets a 128-bit SimHash of its weighted shingles.
+similarity 0 to all of them. Of windows of one size the best ends with a shingle that some item has, or starts
+the document: moving a window off an unknown shingle at its edge loses nothing shared, and no shingle weighs more
+than an unknown one. So every such shingle gives, for each item size n met in the document, the windows of n words that
+end and that begin with it (moved into the document at its ends); those with too few shingles of items
+of that size to reach the similarity are left out, by an exact bound. Each window gets a 128-bit SimHash of its weighted shingles.
 Sixteen blocks of 8 bits index the fingerprints of the items of that size, each block with all values
 one bit away, so every fingerprint within ``RADIUS`` = 31 bits is found: 31 differing bits leave one
 of 16 blocks with at most one. Candidates within the radius are verified by the exact similarity:
@@ -19,6 +21,7 @@ ignored. An empty documents or benchmark table gives no rows.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.llm.shared import small_side, stored
@@ -52,13 +55,29 @@ def _fingerprint(group: list[str], rows: DataFrame) -> DataFrame:
     return summed.select(*group, "total", F.array(*[block(k) for k in range(BITS // BLOCK)]).alias("print"))
 
 
+def _starts(hits: DataFrame, k: int, similarity: float) -> DataFrame:
+    """Windows that begin or end with one of ``hits`` and of whose shingles at least the part ``similarity`` stands
+    in items of their size; one with fewer has a lower similarity, as no shingle weighs more than an unknown one."""
+    by_doc = hits.groupBy("doc_id", "tkey", "size").agg(F.collect_set(F.struct("p", "sizes")).alias("hits"))
+    by_size = by_doc.withColumn("n", F.explode(F.array_distinct(F.flatten("hits.sizes"))))
+    rows = by_size.select("doc_id", "tkey", "size", "n", F.inline("hits"))
+    length = F.least("n", "size") - k + 1  # of a window, in shingles
+    rows = rows.withColumn("own", F.array_contains("sizes", F.col("n")).cast("int")).withColumn("place", F.col("p") / length)
+    around = W.partitionBy("doc_id", "tkey", "size", "n").orderBy("place")  # a window's length is 1
+    rows = rows.withColumns({"ending": F.sum("own").over(around.rangeBetween(-1, 0)), "beginning": F.sum("own").over(around.rangeBetween(0, 1))})
+    last = F.greatest(F.lit(0), F.col("size") - F.col("n"))
+    least = similarity * length - 1e-6
+    starts = F.array(F.when(F.col("ending") >= least, F.greatest(F.lit(0), F.col("p") - F.col("n") + k)), F.when(F.col("beginning") >= least, F.least("p", last)))
+    return rows.select("doc_id", "tkey", F.explode(F.array_compact(starts)).alias("start"), "n", F.lit(k).alias("k"))
+
+
 def _distance(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, tkey, item_id, start, n_words, similarity, distance``: the best window of each document and item
-    with at least ``similarity``; ``tkey`` is the text's ``xxhash64``, ``start`` counts words from 0."""
+    with at least ``similarity``, the first of equally good ones; ``tkey`` is the text's ``xxhash64``, ``start`` counts words from 0."""
     items = benchmark.select("item_id", _words(F.col("text")).alias("words")).where("size(words) > 0")
     items = items.withColumn("item", F.xxhash64(F.col("item_id").cast("string"), "words")).withColumn("n", F.size("words")).withColumn("k", F.least("n", F.lit(SIZE)))
     items = stored(items.dropDuplicates(["item"]), "items")
@@ -77,12 +96,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
 
     source = docs.select("doc_id", "text").withColumn("tkey", F.xxhash64("text"))
     worded = source.select("doc_id", "tkey", _words(F.col("text")).alias("words"))
+    seen = places.groupBy("k", "shingle").agg(F.sort_array(F.collect_set("n")).alias("sizes"))
+    seen = stored(seen, "seen")
     found = None
     for k in sizes or [SIZE]:
         hits = worded.select("doc_id", "tkey", F.size("words").alias("size"), F.posexplode(_shingles(F.col("words"), k)).alias("p", "shingle"))
-        hits = hits.join(small_side(places.where(F.col("k") == k).select("shingle", "o", "n"), BROADCAST_ROWS), "shingle")
-        start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("o"), F.col("size") - F.col("n")))
-        hits = hits.select("doc_id", "tkey", start.alias("start"), "n", F.lit(k).alias("k"))
+        hits = hits.join(small_side(seen.where(F.col("k") == k).drop("k"), BROADCAST_ROWS), "shingle")
+        hits = _starts(hits, k, similarity)
         found = hits if found is None else found.union(hits)
     windows = stored(found.distinct(), "windows")
 
@@ -113,8 +133,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     shared = shared.groupBy("window", "item", "distance", "total", "item_total").agg(F.sum(F.col("weight") * F.least("c", "d")).alias("both"))
     verified = shared.withColumn("similarity", F.col("both") / (F.col("total") + F.col("item_total") - F.col("both"))).where(F.col("similarity") >= similarity - 1e-9)
     named = verified.join(cut.drop("words", "k"), "window").join(items.select("item", "item_id"), "item")
-    best = named.groupBy("doc_id", "tkey", "item", "item_id", F.col("n").alias("n_words")).agg(F.min(F.struct(-F.col("similarity"), "start", "distance")).alias("b"))
-    return best.select("doc_id", "tkey", "item_id", "b.start", "n_words", (-F.col("b.col1")).alias("similarity"), "b.distance")
+    rank = -F.round("similarity", 9)  # sums of equal windows can differ in their last bits
+    best = named.groupBy("doc_id", "tkey", "item", "item_id", F.col("n").alias("n_words")).agg(F.min(F.struct(rank, "start", "similarity", "distance")).alias("b"))
+    return best.select("doc_id", "tkey", "item_id", "b.start", "n_words", "b.similarity", "b.distance")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -95,6 +95,44 @@ def test_decontamination_against_brute_force(spark, edge):
     assert decontaminate.matches(edge.limit(0), bench).count() == 0
 
 
+def best_windows(docs, items, least=0.8):
+    """(doc, item): similarity and start of the best of all windows of the item's size, the first of equals."""
+    shingled = lambda ws, k: [tuple(ws[i : i + k]) for i in range(len(ws) - k + 1)]
+    words = {i: t.split() for i, t in items}
+    held = {i: Counter(shingled(ws, min(5, len(ws)))) for i, ws in words.items()}
+    df = Counter(s for c in held.values() for s in c)
+    weight = lambda s: math.log(1 + len(items) / df.get(s, 1))
+    out = {}
+    for d, text in docs:
+        doc = text.split()
+        for i, ws in words.items():
+            n, scored = len(ws), []
+            for s in range(max(1, len(doc) - n + 1)):
+                own = Counter(shingled(doc[s : s + n], min(5, n)))
+                both = sum(weight(x) * min(c, held[i][x]) for x, c in own.items())
+                every = sum(weight(x) * max(own[x], held[i][x]) for x in own | held[i])
+                scored.append((-round(both / every, 9), s))
+            if -min(scored)[0] >= least:
+                out[d, i] = (-min(scored)[0], min(scored)[1])
+    return out
+
+
+def test_decontamination_takes_windows_off_the_alignment(spark):
+    items = [(i, prose(200 + i, n)) for i, n in enumerate((60, 60, 45, 30, 52))]
+    docs = [(0, f"{prose(301, 90)} {items[0][1]} {prose(302, 40)}")]
+    for m in (10, 15, 20, 30):
+        ws = items[0][1].split()
+        docs.append((m, " ".join([prose(310 + m, 50), *ws[m:], *ws[:m], prose(320 + m, 50)])))
+    for d, (i, cut) in enumerate(((1, 28), (2, 20), (4, 5)), 100):  # words put in between
+        ws = items[i][1].split()
+        docs.append((d, " ".join([prose(330 + d, 30), *ws[:cut], *prose(340 + d, 2).split(), *ws[cut:], prose(350 + d, 30)])))
+    docs += [(200, " ".join(items[3][1].split()[2:])), (201, items[1][1] + " " + items[2][1]), (202, prose(360, 8))]
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"]) for r in decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = best_windows(docs, items)
+    assert {(10, 0), (15, 0), (20, 0), (30, 0)} <= set(want)
+    assert got == {key: (pytest.approx(x, abs=1e-8), s) for key, (x, s) in want.items()}
+
+
 def test_packing_is_whole_and_dense(spark, edge):
     from tokenizers import Tokenizer
 
