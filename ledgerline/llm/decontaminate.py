@@ -5,7 +5,8 @@ similarity 0 to all of them. Of windows of one size the best ends with a shingle
 the document: moving a window off an unknown shingle at its edge loses nothing shared, and no shingle weighs more
 than an unknown one. So every such shingle gives, for each item size n met in the document, the windows of n words that
 end and that begin with it (moved into the document at its ends); those with too few shingles of items
-of that size to reach the similarity are left out, by an exact bound. Each window gets a 128-bit SimHash of its weighted shingles.
+of that size to reach the similarity are left out, by an exact bound. Each window gets a 128-bit SimHash of its
+shingles, each weighing the root of its weight: so at similarity J the cosine is 2J / (1 + J) or more.
 Sixteen blocks of 8 bits index the fingerprints of the items of that size, each block with all values
 one bit away, so every fingerprint within ``RADIUS`` = 31 bits is found: 31 differing bits leave one
 of 16 blocks with at most one. Candidates within the radius are verified by the exact similarity:
@@ -43,10 +44,15 @@ def _shingles(words: Column, size: int) -> Column:
 
 
 def _fingerprint(group: list[str], rows: DataFrame) -> DataFrame:
-    """128-bit SimHash, as 16 numbers of 8 bits, of the ``shingle`` rows of each group by their ``weight``."""
-    halves = [F.xxhash64(F.lit(seed), "shingle") for seed in (1, 2)]
-    rows = rows.withColumns({"h0": halves[0], "h1": halves[1]})
-    sums = [F.sum(F.when(F.col(f"h{b // 64}").bitwiseAND(F.shiftleft(F.lit(1).cast("long"), b % 64)) != 0, F.col("weight")).otherwise(-F.col("weight"))).alias(f"s{b}") for b in range(BITS)]
+    """128-bit SimHash, as 16 numbers of 8 bits, of the ``shingle`` rows of each group with their number ``c`` and ``weight``.
+
+    Each occurrence adds or takes away the root of its weight: the angle follows the squares, so the weighted overlap.
+    The first, second... occurrences are features of their own, so common is the smaller count. Roots are
+    summed as whole numbers, so equal groups get equal fingerprints in any order."""
+    rows = rows.withColumn("j", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))))
+    halves = [F.xxhash64(F.lit(seed), "shingle", "j") for seed in (1, 2)]
+    rows = rows.withColumns({"h0": halves[0], "h1": halves[1], "root": F.round(F.sqrt("weight") * (1 << 20)).cast("long")})
+    sums = [F.sum(F.when(F.col(f"h{b // 64}").bitwiseAND(F.shiftleft(F.lit(1).cast("long"), b % 64)) != 0, F.col("root")).otherwise(-F.col("root"))).alias(f"s{b}") for b in range(BITS)]
     summed = rows.groupBy(*group).agg(*sums, F.sum("weight").alias("total"))
 
     def block(k: int) -> Column:
@@ -115,9 +121,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     for k in sizes or [SIZE]:
         part = cut.where(F.col("k") == k).select("window", "n", F.explode(_shingles(F.col("words"), k)).alias("shingle"))
         exploded = part if exploded is None else exploded.union(part)
-    exploded = stored(exploded.join(weights, "shingle", "left").withColumn("weight", F.coalesce("weight", unseen)), "shingled")
-    window_prints = stored(_fingerprint(["window", "n"], exploded), "window_prints")
-    item_prints = stored(_fingerprint(["item", "n"], places.select("item", "n", "shingle").join(weights, "shingle")), "item_prints")
+    counts = exploded.groupBy("window", "n", "shingle").agg(F.count("*").alias("c"))
+    counts = stored(counts.join(weights, "shingle", "left").withColumn("weight", F.coalesce("weight", unseen)), "counts")
+    window_prints = stored(_fingerprint(["window", "n"], counts), "window_prints")
+    item_counts = stored(places.groupBy("item", "n", "shingle").agg(F.count("*").alias("d")), "item_counts")
+    item_prints = stored(_fingerprint(["item", "n"], item_counts.withColumnRenamed("d", "c").join(weights, "shingle")), "item_prints")
 
     near = F.expr("concat(array(value), transform(sequence(0, 7), b -> value ^ shiftleft(1, b)))")
     index = item_prints.select("item", "n", F.col("print").alias("item_print"), F.col("total").alias("item_total"), F.posexplode("print").alias("block", "value"))
@@ -127,9 +135,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     candidates = candidates.withColumn("distance", _distance("print", "item_print")).where(F.col("distance") <= RADIUS)
     candidates = stored(candidates.select("window", "item", "distance", "total", "item_total").distinct(), "candidates")
 
-    counts = exploded.groupBy("window", "shingle").agg(F.count("*").alias("c"), F.first("weight").alias("weight"))
-    item_counts = places.groupBy("item", "shingle").agg(F.count("*").alias("d"))
-    shared = candidates.join(counts, "window").join(item_counts, ["item", "shingle"])
+    shared = candidates.join(counts.drop("n"), "window").join(item_counts.drop("n"), ["item", "shingle"])
     shared = shared.groupBy("window", "item", "distance", "total", "item_total").agg(F.sum(F.col("weight") * F.least("c", "d")).alias("both"))
     verified = shared.withColumn("similarity", F.col("both") / (F.col("total") + F.col("item_total") - F.col("both"))).where(F.col("similarity") >= similarity - 1e-9)
     named = verified.join(cut.drop("words", "k"), "window").join(items.select("item", "item_id"), "item")

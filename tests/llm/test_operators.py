@@ -133,6 +133,21 @@ def test_decontamination_takes_windows_off_the_alignment(spark):
     assert got == {key: (pytest.approx(x, abs=1e-8), s) for key, (x, s) in want.items()}
 
 
+def test_fingerprints_follow_the_weighted_overlap(spark):
+    rows = []  # pairs at weighted similarity 0.8: common shingles of weight 1, rare ones of weight 6 on one side each
+    for i in range(150):
+        for j in range(48):
+            rows += [(2 * i, i * 1000 + j, 1, 1.0), (2 * i + 1, i * 1000 + j, 1, 1.0)]
+        rows += [(2 * i + side, i * 1000 + 500 + side, 1, 6.0) for side in (0, 1)]
+    rows += [(400, 7, 10, 1.0), (400, 8, 9, 1.0), (401, 8, 8, 1.0), (401, 7, 9, 1.0)]  # 17 of 19 occurrences in common
+    prints = decontaminate._fingerprint(["g"], spark.createDataFrame(rows, "g long, shingle long, c long, weight double")).collect()
+    got = {r["g"]: (r["print"], r["total"]) for r in prints}
+    apart = lambda a, b: sum((x ^ y).bit_count() for x, y in zip(got[a][0], got[b][0]))
+    assert got[400][1] == 19 and got[401][1] == 17 and got[0][1] == 54
+    assert apart(400, 401) <= decontaminate.RADIUS
+    assert sum(apart(2 * i, 2 * i + 1) > decontaminate.RADIUS for i in range(150)) <= 4
+
+
 def test_packing_is_whole_and_dense(spark, edge):
     from tokenizers import Tokenizer
 
