@@ -8,8 +8,8 @@ AdaGrad on the exact likelihood gradient from forward-backward. A document's wor
 marginals by forward-backward over the whole text; the language with the largest mean marginal over
 words with letters is predicted, and that mean is the score.
 
-Training reads at most about ``MOST_DOCS`` documents of each of the ``MOST_LANGUAGES`` commonest languages (picked by a
-hash of the text), none longer than ``MOST_CHARS``; prediction reads every text whole.
+Training reads at most ``MOST_DOCS`` distinct texts of each of the ``MOST_LANGUAGES`` commonest languages (the first by
+a hash of the text), none longer than ``MOST_CHARS``; prediction reads every text whole.
 
 Rows: a null text or one without letters gets ``und`` with score 1; repeated rows and null ids each give
 their row. Without labelled training rows every text is ``und`` with score 0. Ties go to the language first
@@ -25,9 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.llm.shared import crc_mod, mapped, mixed, span_hashes, text_steps
+from ledgerline.llm.shared import crc_mod, mapped, mixed, span_hashes, stored, text_steps
 
 MOST_DOCS, MOST_LANGUAGES, MOST_CHARS = 300, 100, 20_000
 BUCKETS, EPOCHS, RATE, LENGTH, LEXICON = 1 << 16, 8, 0.3, 64, 2000
@@ -228,8 +229,12 @@ def learn(docs: DataFrame, most_docs: int = MOST_DOCS) -> Field:
     """A field from the rows of ``docs(text, lang)`` with a language."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= MOST_CHARS)).select("text", "lang")
     sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    sample = known.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < (1 << 20) * most_docs / F.col("n"))
-    rows = sorted(sample.select("lang", "text").collect())  # about most_docs of each language, bounded in length
+    known = known.join(F.broadcast(sizes), "lang").select("lang", F.xxhash64("text").alias("key"), "text")
+    texts = known.select("lang", "key").distinct()
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("key"))  # each task passes on its first of a language
+    taken = stored(texts.withColumn("rank", rank).where(F.col("rank") <= most_docs).drop("rank"), "taken")
+    sample = known.join(F.broadcast(taken), ["lang", "key"]).dropDuplicates(["lang", "key"])
+    rows = sorted(sample.select("lang", "text").collect())  # at most most_docs of each language, bounded in length
     field = Field(sorted({r["lang"] for r in rows}))
     if rows:
         field.fit([r["text"] for r in rows], [field.languages.index(r["lang"]) for r in rows])

@@ -327,6 +327,22 @@ def test_language_held_out_and_edges(spark, edge):
     assert language.identified(edge.limit(0), F.lit(False)).count() == 0
 
 
+def learned(spark, monkeypatch, rows, most_docs):
+    """Languages of the field and the texts it is fitted on by language."""
+    seen = defaultdict(list)
+    monkeypatch.setattr(language.Field, "fit", lambda self, texts, states: [seen[self.languages[y]].append(x) for x, y in zip(texts, states)])
+    return language.learn(spark.createDataFrame(rows, "text string, lang string"), most_docs).languages, seen
+
+
+def test_language_sample_takes_distinct_texts(spark, monkeypatch):
+    rows = [(prose(i, 12), f"c{i}") for i in range(12) for _ in range(60)]  # copies of one text a language
+    rows += [(prose(50, 12), "hot")] * 300 + [(prose(60 + i, 12), "hot") for i in range(20)]
+    languages, seen = learned(spark, monkeypatch, rows, 5)
+    assert languages == sorted([*(f"c{i}" for i in range(12)), "hot"])
+    assert all(seen[f"c{i}"] == [prose(i, 12)] for i in range(12))
+    assert len(seen["hot"]) == len(set(seen["hot"])) == 5
+
+
 def test_forward_backward_against_enumeration():
     rng = np.random.default_rng(2)
     emit, move = rng.standard_normal((4, 3)), rng.standard_normal((3, 3))
