@@ -8,8 +8,10 @@ AdaGrad on the exact likelihood gradient from forward-backward. A document's wor
 marginals by forward-backward over the whole text; the language with the largest mean marginal over
 words with letters is predicted, and that mean is the score.
 
-Training reads at most ``MOST_DOCS`` distinct texts of each of the ``MOST_LANGUAGES`` commonest languages (the first by
-a hash of the text), none longer than ``MOST_CHARS``; prediction reads every text whole.
+Every language of the training rows is a state. Training reads at most ``MOST_DOCS`` distinct texts of each, with more
+than 100 languages fewer, so that all have at most ``MOST_TEXTS`` or one each: the first by a hash of the text, those
+with letters first, then those up to ``MOST_CHARS``; of a longer one pieces of that length together. Prediction
+reads every text whole. The weights, ``BUCKETS`` x languages, are held by the driver and each Python worker.
 
 Rows: a null text or one without letters gets ``und`` with score 1; repeated rows and null ids each give
 their row. Without labelled training rows every text is ``und`` with score 0. Ties go to the language first
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.shared import crc_mod, mapped, mixed, span_hashes, stored, text_steps
 
-MOST_DOCS, MOST_LANGUAGES, MOST_CHARS = 300, 100, 20_000
+MOST_DOCS, MOST_TEXTS, MOST_CHARS = 300, 30_000, 20_000
 BUCKETS, EPOCHS, RATE, LENGTH, LEXICON = 1 << 16, 8, 0.3, 64, 2000
 #: Words whose feature sums a Python worker keeps.
 HELD_WORDS = 500_000
@@ -225,16 +227,23 @@ class Field:
         return out, score
 
 
+def _bounded(text: Column) -> Column:
+    """The text, or of one over ``MOST_CHARS`` as many characters in four pieces from its beginning to its end."""
+    size = MOST_CHARS // 4
+    pieces = [F.substr(text, (F.lit(1) + F.floor((F.length(text) - size) * i / 3)).cast("int"), F.lit(size)) for i in range(4)]
+    return F.when(F.length(text) <= MOST_CHARS, text).otherwise(F.concat_ws(" ", *pieces))
+
+
 def learn(docs: DataFrame, most_docs: int = MOST_DOCS) -> Field:
     """A field from the rows of ``docs(text, lang)`` with a language."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= MOST_CHARS)).select("text", "lang")
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    known = known.join(F.broadcast(sizes), "lang").select("lang", F.xxhash64("text").alias("key"), "text")
-    texts = known.select("lang", "key").distinct()
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("key"))  # each task passes on its first of a language
-    taken = stored(texts.withColumn("rank", rank).where(F.col("rank") <= most_docs).drop("rank"), "taken")
-    sample = known.join(F.broadcast(taken), ["lang", "key"]).dropDuplicates(["lang", "key"])
-    rows = sorted(sample.select("lang", "text").collect())  # at most most_docs of each language, bounded in length
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", F.xxhash64("text").alias("key"), "text")
+    blank, long = ~F.col("text").rlike("\\p{L}"), F.length("text") > MOST_CHARS
+    texts = stored(known.select("lang", "key", blank.alias("blank"), long.alias("long")).distinct(), "lang_texts")
+    most = max(1, min(most_docs, MOST_TEXTS // max(1, texts.select("lang").distinct().count())))
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("blank", "long", "key"))  # each task passes on its first of a language
+    taken = stored(texts.withColumn("rank", rank).where(F.col("rank") <= most).select("lang", "key"), "taken")
+    sample = known.join(F.broadcast(taken), ["lang", "key"]).withColumn("text", _bounded(F.col("text"))).dropDuplicates(["lang", "key"])
+    rows = sorted(sample.select("lang", "text").collect())  # at most most of each language, bounded in length
     field = Field(sorted({r["lang"] for r in rows}))
     if rows:
         field.fit([r["text"] for r in rows], [field.languages.index(r["lang"]) for r in rows])

@@ -343,6 +343,15 @@ def test_language_sample_takes_distinct_texts(spark, monkeypatch):
     assert len(seen["hot"]) == len(set(seen["hot"])) == 5
 
 
+def test_language_learns_rare_and_long_languages(spark, monkeypatch):
+    rows = [(prose(i, 12), f"l{i:03}") for i in range(130)] + [(prose(200 + i, 9000), "long") for i in range(3)]
+    rows += [("12 34", "none"), ("1" * 30_000 + " word", "none")]
+    languages, seen = learned(spark, monkeypatch, rows, 300)
+    assert languages == sorted({lang for _, lang in rows}) and all(seen[x] for x in languages)
+    assert len(seen["long"]) == 3 and all(language.MOST_CHARS <= len(x) <= language.MOST_CHARS + 3 for x in seen["long"])
+    assert any("word" in x for x in seen["none"])
+
+
 def test_forward_backward_against_enumeration():
     rng = np.random.default_rng(2)
     emit, move = rng.standard_normal((4, 3)), rng.standard_normal((3, 3))
