@@ -4,7 +4,8 @@ The automaton finds at-signs, digits and plus signs, schemes and identifier cues
 its parser, which expands it to the left and right as far as its kind's characters reach and checks
 what it has: e-mail addresses around at-signs, IP addresses and card numbers around digits, phone
 numbers behind plus signs (the base kinds, leftmost and not overlapping per kind), and two more
-kinds: ``url`` behind a scheme, ``secret`` (passwords, tokens, keys, account numbers) behind a cue.
+kinds: ``url`` behind a scheme, ``secret`` (passwords, tokens, keys, account numbers) behind a cue. Between
+a cue and its code there may be ``number`` or ``no.`` and a few separators; an IBAN ends at its country's length.
 A match that fails its check (parts of an address over 255, a wrong check digit, too few digits) is
 dropped and its characters are not tried again.
 
@@ -38,9 +39,16 @@ _DOTTED = re.compile(r"[0-9.]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL = re.compile(r"(?:https?|ftp)://[^\s<>\"'`{}|\\^]+|mailto:[^\s<>\"'`]+|www\.[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+[^\s<>\"'`]*", re.I)
-_SECRET = re.compile(r"[\"']?\s{0,2}(?:=|:|\bis\b)\s{0,2}[\"']?([A-Za-z0-9+/_.-]{6,})")
+_NAMED = r"(?:\s{0,2}(?:(?:numbers?|num|no|nr)\b\.?|#))?"  # as in "account number"
+_SECRET = re.compile(_NAMED + r"[\"']?\s{0,2}(?:=|:|\bis\b)\s{0,2}[\"']?([A-Za-z0-9+/_.-]{6,})", re.I)
+_ACCOUNT = re.compile(_NAMED + r"[\s:=#\"']{1,4}([0-9](?:-?[0-9]){5,})(?![A-Za-z0-9])", re.I)
+_LEAD = re.compile(r"s?" + _NAMED + r"\W{1,4}(?:is\b\W{1,4})?", re.I)  # between a cue and an IBAN
 _KEY = re.compile(r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
+#: Length of an IBAN by country.
+_BY_LENGTH = ("15 NO", "16 BE", "18 DK FI FO GL NL SD FK", "19 MK SI", "20 AT BA EE KZ LT LU XK MN", "21 CH CR HR LI LV", "22 BG BH DE GB GE IE ME RS VA", "23 AE GI IL IQ OM TL SO", "24 AD CZ ES MD PK RO SA SE SK TN VG", "25 LY PT ST", "26 IS TR", "27 BI DJ FR GR IT MC MR SM", "28 AL AZ BY CY DO GT HU LB NI PL SV", "29 BR EG PS QA UA", "30 JO KW MU YE", "31 MT SC", "32 LC", "33 RU")
+_LENGTHS = {c: int(n) for n, *cs in map(str.split, _BY_LENGTH) for c in cs}
+ACCOUNTS = ("account", "acct", "iban")
 CUES = ("password", "passwd", "token", "secret", "api_key", "apikey", "api key", "account", "acct", "iban", "ssn", "passport")
 SCHEMES = ("http://", "https://", "ftp://", "mailto:", "www.")
 
@@ -70,6 +78,18 @@ def _iban_ok(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
 
 
+def _iban_end(text: str, start: int) -> int:
+    """Where the IBAN at ``start`` ends: at its country's length, else the longest that passes the check; -1 without one."""
+    m = _IBAN.match(text, start)
+    if not m:
+        return -1
+    places = [i for i in range(m.start(), m.end()) if text[i] != " "]
+    ends = [i + 1 for i in places[14:] if not text[i + 1 : i + 2].isalnum()]
+    n = _LENGTHS.get(text[start : start + 2], 0)
+    own = places[n - 1] + 1 if 0 < n <= len(places) else -1
+    return next((e for e in sorted(ends, key=lambda e: (e != own, -e)) if _iban_ok(text[start:e])), -1)
+
+
 def spans(text: str) -> list[Span]:
     """All spans as (kind, start, end) by kind, then start; characters counted as code points, end exclusive."""
     out: dict[str, list[Span]] = {k: [] for k in KINDS}
@@ -121,8 +141,13 @@ def spans(text: str) -> list[Span]:
                     stop = start + len(m.group(1).rstrip("."))
                     if not any(c.isdigit() for c in m.group(1)):
                         m = None
-                if (i := _IBAN.match(text, end + 2)) and _iban_ok(i.group()):
-                    m, (start, stop) = i, i.span()
+                if not m and low[at : end + 1] in ACCOUNTS and (m := _ACCOUNT.match(text, end + 1)):
+                    start, stop = m.span(1)
+                lead = _LEAD.match(text, end + 1)
+                for begin in (lead.end() if lead else end + 2, end + 2):
+                    if (to := _iban_end(text, begin)) > 0:
+                        m, start, stop = True, begin, to
+                        break
             if m and start >= upto["secret"]:
                 out["secret"].append(("secret", start, stop))
                 upto["secret"] = stop

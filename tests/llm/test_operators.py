@@ -212,6 +212,27 @@ def test_personal_data_base_spans_equal_the_patterns():
         assert [s for s in pii.spans(t) if s[0] in pii.BASE_KINDS] == list(plain(t))
 
 
+@pytest.mark.parametrize(
+    ("text", "code"),
+    [
+        ("IBAN: DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 00"),
+        ("IBAN DE89370400440532013000 AND MORE", "DE89370400440532013000"),
+        ("iban no. GB29 NWBK 6016 1331 9268 19 THEN 5", "GB29 NWBK 6016 1331 9268 19"),
+        ("IBAN is NO93 8601 1117 947.", "NO93 8601 1117 947"),
+        ("IBAN DE89370400440532013000", "DE89370400440532013000"),
+        ("account number: 12345678", "12345678"),
+        ("account no. 12345678", "12345678"),
+        ("Account 12345678, please", "12345678"),
+        ("account: 12345678", "12345678"),
+        ("IBAN DE88 3704 0044 0532 0130 00 AND", None),  # wrong check digits
+        ("the account of 12345678 people", None),
+        ("account 1234 and account holders", None),
+    ],
+)
+def test_personal_data_account_numbers(text, code):
+    assert [text[s:e] for k, s, e in pii.spans(text) if k == "secret"] == [code] * (code is not None)
+
+
 def test_personal_data_masks(spark, edge):
     assert pii.mask("mail a.b@c.example.org or https://x.example/y?z=1, password=abc12345!") == "mail [EMAIL] or [URL], password=[SECRET]!"
     assert pii.mask(None) is None and pii.mask("") == ""
