@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import decontaminate, language, lm_score, near_dup, neighbours, packing, pii, quality, sharding, toxicity
+from ledgerline.llm import chat_format, decontaminate, language, lm_score, near_dup, neighbours, packing, pii, quality, sharding, spelling, toxicity, whitening
 
 QUERIES = {
     "op1_qda_quality": quality.op1_qda_quality,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_lexicon_toxicity": toxicity.op8_lexicon_toxicity,
     "op9_cutting_stock_packing": packing.op9_cutting_stock_packing,
     "op10_ppm_scoring": lm_score.op10_ppm_scoring,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_chat_format": chat_format.op12_chat_format,
+    "op13_exact_whitening": whitening.op13_exact_whitening,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_maglev_sharding": sharding.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op3_maglev_sharding": sharding.ORACLE, "op12_chat_format": chat_format.ORACLE}
