@@ -101,30 +101,11 @@ def derive_segment(
     )
 
 
-def map_values(c: str | Column, mapping: Mapping, default=None) -> Column:
-    """Value -> label lookup as a literal map."""
-    items = []
-    for k, v in mapping.items():
-        items += [F.lit(k), F.lit(v)]
-    # try_element_at: a missing key is NULL under ANSI mode too
-    looked = F.try_element_at(F.create_map(*items), col_(c))
-    return F.coalesce(looked, F.lit(default)) if default is not None else looked
-
-
 def flag(c: str | Column, value) -> Column:
     """``(col == value).astype(int)``."""
     return (col_(c) == F.lit(value)).cast("int")
 
 
-def one_hot(df: DataFrame, c: str, values: Sequence[str], prefix: str = "is_") -> DataFrame:
-    """Data-driven 0/1 columns, one per value.
-
-    ``values`` is the (small) distinct list, collected once by the caller; the
-    flags are one ``select``.  Names are lower-cased, values compared as given.
-    """
-    return df.withColumns({f"{prefix}{str(v).lower()}": flag(c, v) for v in values})
-
-
 def same_trimmed(a: str | Column, b: str | Column) -> Column:
     """``'1'`` when the trimmed strings are equal, else ``'0'`` (NULL is never equal)."""
     return F.when(F.trim(col_(a)) == F.trim(col_(b)), F.lit("1")).otherwise(F.lit("0"))
@@ -176,10 +157,6 @@ def exact_ratio(num: str | Column, den: str | Column, scale: int = 2) -> Column:
     return F.when(d != 0, units(num, scale) / d)
 
 
-def as_double(c: str | Column) -> Column:
-    return col_(c).cast("double")
-
-
 def exact_pct(num: str | Column, den: str | Column, places: int = 2) -> Column:
     """``round(num / den * 100, places)`` for integer counts, HALF_UP on exact decimals, as double."""
     d = col_(den).cast("decimal(20,0)")

@@ -2,9 +2,9 @@
 
 Textbook methods: the regularized incomplete beta by Lentz's continued fraction,
 the regularized upper incomplete gamma by series / continued fraction, the normal
-CDF from ``erfc`` and its inverse by Newton steps from a rational start.  They are
-applied to aggregated rows only (one row per test), either on the driver or through
-the Arrow UDFs at the bottom.
+CDF from ``erfc`` and its inverse by Newton steps from a rational start.  They
+serve single values on the driver (planning constants) and as a second opinion in the
+tests; columns use ``tails``.
 """
 
 from __future__ import annotations
@@ -12,9 +12,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 _EPS = 3e-16
 _TINY = 1e-300
@@ -131,30 +128,3 @@ def norm_ppf(p: float) -> float:
         if abs(step) < 1e-15:
             break
     return z
-
-
-# ----------------------------------------------------------------- Arrow UDFs (aggregated rows only)
-
-def _vec(fn, *cols: pd.Series) -> pd.Series:
-    return pd.Series([fn(*vals) if all(v is not None and v == v for v in vals) else np.nan
-                      for vals in zip(*cols)], dtype="float64")
-
-
-@F.pandas_udf(DoubleType())
-def t_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
-    return _vec(t_two_sided_p, t, df)
-
-
-@F.pandas_udf(DoubleType())
-def f_p_value(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    return _vec(f_sf, f, d1, d2)
-
-
-@F.pandas_udf(DoubleType())
-def chi2_p_value(x: pd.Series, k: pd.Series) -> pd.Series:
-    return _vec(chi2_sf, x, k)
-
-
-@F.pandas_udf(DoubleType())
-def normal_cdf(z: pd.Series) -> pd.Series:
-    return _vec(norm_cdf, z)

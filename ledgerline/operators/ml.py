@@ -15,16 +15,21 @@ Scale notes
 from __future__ import annotations
 
 import random
+import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
 import numpy as np
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.util import inheritable_thread_target
 
 from ledgerline.operators.joins import join_aggregate
+from ledgerline.operators.order_stats import cumulated
+from ledgerline.session import ensure_checkpoint_dir
 
 BUCKETS = 1 << 16  # ~15M rows per bucket even for a 10^12-row group
 
@@ -38,8 +43,9 @@ def uniform_hash(cols: Sequence[str | Column], seed: int) -> Column:
 
 
 def group_row_index(df: DataFrame, group_cols: Sequence[str], u_col: str, buckets: int = BUCKETS,
-                    name: str = "_idx") -> DataFrame:
-    """0-based position of each row within its group in ``u_col`` order, exact.
+                    name: str = "_idx", size: str | None = None) -> DataFrame:
+    """0-based position of each row within its group in ``u_col`` order, exact; ``size`` names a
+    column for the group's row count.
 
     Rows are bucketed by ``floor(u * buckets)``; the (group, bucket) counts are a
     small table whose prefix sums give each bucket's offset; rows are numbered only
@@ -49,7 +55,8 @@ def group_row_index(df: DataFrame, group_cols: Sequence[str], u_col: str, bucket
     d = df.withColumn("_b", F.floor(F.col(u_col) * buckets).cast("int"))
     counts = d.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_c"))
     prev = W.partitionBy(*group_cols).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    offs = counts.select(*group_cols, "_b", F.coalesce(F.sum("_c").over(prev), F.lit(0)).alias("_off"))
+    whole = [] if size is None else [F.sum("_c").over(W.partitionBy(*group_cols)).alias(size)]
+    offs = counts.select(*group_cols, "_b", F.coalesce(F.sum("_c").over(prev), F.lit(0)).alias("_off"), *whole)
     d = join_aggregate(d, offs, [*group_cols, "_b"])
     local = F.row_number().over(W.partitionBy(*group_cols, "_b").orderBy(u_col)) - 1
     return d.withColumn(name, F.col("_off") + local).drop("_b", "_off")
@@ -66,9 +73,7 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str], test_fr
     """Adds ``is_test``: exactly ``round(test_frac * n_class)`` rows of every class,
     chosen by hash order (M1, ``train_test_split(stratify=y)``).  Repeatable for a seed."""
     d = df.withColumn("_u", uniform_hash(key_cols, seed))
-    d = group_row_index(d, [label], "_u")
-    sizes = d.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    d = join_aggregate(d, sizes, label)
+    d = group_row_index(d, [label], "_u", size="_n")
     return d.withColumn("is_test", F.col("_idx") < F.round(F.col("_n") * test_frac)).drop("_u", "_idx", "_n")
 
 
@@ -162,42 +167,20 @@ def hard_label_auc(pred: DataFrame, label: str = "label", prediction: str = "pre
     return g.select("cls", tpr.alias("tpr"), fpr.alias("fpr"), ((tpr + 1 - fpr) / 2).alias("auc"))
 
 
-def _score_counts(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str], buckets: int) -> DataFrame:
-    """Per group and distinct score ``_s``: positives and negatives with it (``_pos``, ``_neg``), with a
-    smaller one (``_pos_below``, ``_neg_below``) and in all (``_np``, ``_nn``).
-
-    Rows are first counted per distinct score (partial aggregation). Scores fall into ranges of
-    equal width; the ranges' counts are prefix-summed and sums inside a range come from a window over
-    its distinct scores only.
-    """
+def _score_counts(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str]) -> DataFrame:
+    """Per group and distinct score ``_v``: positives and negatives with it (``_pos``, ``_neg``), with a
+    smaller one (``_below``) and in all (``_all``). Rows are first counted per distinct score; sums over smaller
+    scores are those of ``order_stats.cumulated``."""
     one = F.lit(1).alias("_one")
-    keys = [*by, "_one"]
-    d = scored.select(*by, one, score.cast("double").alias("_s"), is_positive.cast("int").alias("_y"))
-    per = d.groupBy(*keys, "_s").agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg"))
-    whole = per.groupBy(*keys).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"),
-                                   F.sum("_pos").alias("_np"), F.sum("_neg").alias("_nn"))
-    per = join_aggregate(per, whole, keys)
-    width = (F.col("_hi") - F.col("_lo")) / buckets
-    place = F.least(F.floor((F.col("_s") - F.col("_lo")) / width), F.lit(buckets - 1))
-    per = per.withColumn("_b", F.when(width > 0, place).otherwise(0).cast("int"))
-    before = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    sums = per.groupBy(*keys, "_b").agg(F.sum("_pos").alias("_bp"), F.sum("_neg").alias("_bn"))
-    sums = sums.select(*keys, "_b", F.coalesce(F.sum("_bp").over(before), F.lit(0)).alias("_op"),
-                       F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_on"))
-    per = join_aggregate(per, sums, [*keys, "_b"])
-    below = W.partitionBy(*keys, "_b").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
-    return per.select(
-        *by, "_s", "_pos", "_neg", "_np", "_nn",
-        (F.col("_op") + F.coalesce(F.sum("_pos").over(below), F.lit(0))).alias("_pos_below"),
-        (F.col("_on") + F.coalesce(F.sum("_neg").over(below), F.lit(0))).alias("_neg_below"),
-    )
+    d = scored.select(*by, one, score.cast("double").alias("_v"), is_positive.cast("int").alias("_y"))
+    per = d.groupBy(*by, "_one", "_v").agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg"))
+    return cumulated(per, [*by, "_one"], ["_pos", "_neg"]).drop("_one")
 
 
-def roc_auc(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str] = (),
-            buckets: int = BUCKETS) -> DataFrame:
+def roc_auc(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str] = ()) -> DataFrame:
     """Exact ROC AUC (Mann-Whitney, ties count one half) per group (M16):
     ``sum over positives of (negatives below + negatives equal / 2) / (n_pos * n_neg)``."""
-    agg = _score_counts(scored, is_positive, score, by, buckets).groupBy(*by).agg(
+    agg = _score_counts(scored, is_positive, score, by).groupBy(*by).agg(
         F.sum(F.col("_pos") * (F.col("_neg_below") + F.col("_neg") / 2.0)).alias("_u"),
         F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"),
     )
@@ -205,29 +188,27 @@ def roc_auc(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[
                       (F.col("_u") / (F.col("n_pos").cast("double") * F.col("n_neg").cast("double"))).alias("auc"))
 
 
-def _roc_segments(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str], buckets: int) -> DataFrame:
+def _roc_segments(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str]) -> DataFrame:
     """Per group and distinct score, the curve's step from ``(fpr0, tpr0)``, where only higher scores are
     taken, to ``(fpr, tpr)``, where this one is too. A rate without rows to count is NULL."""
-    per = _score_counts(scored, is_positive, score, by, buckets)
-    p, n = F.col("_np") - F.col("_pos_below"), F.col("_nn") - F.col("_neg_below")
+    per = _score_counts(scored, is_positive, score, by)
+    p, n = F.col("_pos_all") - F.col("_pos_below"), F.col("_neg_all") - F.col("_neg_below")
     return per.select(
-        *by, F.col("_s").alias("threshold"),
-        F.try_divide(p, F.col("_np")).alias("tpr"), F.try_divide(n, F.col("_nn")).alias("fpr"),
-        F.try_divide(p - F.col("_pos"), F.col("_np")).alias("tpr0"), F.try_divide(n - F.col("_neg"), F.col("_nn")).alias("fpr0"),
+        *by, F.col("_v").alias("threshold"),
+        F.try_divide(p, F.col("_pos_all")).alias("tpr"), F.try_divide(n, F.col("_neg_all")).alias("fpr"),
+        F.try_divide(p - F.col("_pos"), F.col("_pos_all")).alias("tpr0"), F.try_divide(n - F.col("_neg"), F.col("_neg_all")).alias("fpr0"),
     )
 
 
-def roc_curve(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str] = (),
-              buckets: int = BUCKETS) -> DataFrame:
+def roc_curve(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str] = ()) -> DataFrame:
     """The exact ROC curve: one point ``threshold, tpr, fpr`` per group and distinct score."""
-    return _roc_segments(scored, is_positive, score, by, buckets).drop("tpr0", "fpr0")
+    return _roc_segments(scored, is_positive, score, by).drop("tpr0", "fpr0")
 
 
-def macro_roc(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str], grid: int = 100,
-              buckets: int = BUCKETS) -> DataFrame:
+def macro_roc(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str], grid: int = 100) -> DataFrame:
     """Macro-average ROC ``fpr, macro_tpr``: every group's curve is interpolated at ``grid`` even rates
     from 0 to 1 and averaged (M16, M27). At a vertical step the curve's upper end counts."""
-    seg = _roc_segments(scored, is_positive, score, by, buckets)
+    seg = _roc_segments(scored, is_positive, score, by)
     first, last = F.ceil(F.col("fpr0") * (grid - 1)), F.floor(F.col("fpr") * (grid - 1))
     at = seg.withColumn("_i", F.explode(F.when(first <= last, F.sequence(first, last))))
     x = F.col("_i") / F.lit(float(grid - 1))
@@ -284,58 +265,119 @@ def sample_params(space: dict, n_iter: int, seed: int) -> list[dict]:
     return out
 
 
-def cross_validate(df: DataFrame, fold_col: str, k: int, make_model: Callable[[], object],
-                   score: Callable[[DataFrame], float], resample: Callable[[DataFrame], DataFrame] | None = None
-                   ) -> list[float]:
-    """k-fold scores; ``resample`` (e.g. SMOTE) is applied to each training part only,
-    never to the held-out fold (M4, M10)."""
-    scores = []
-    for f in range(k):
+def run_concurrently(spark: SparkSession, jobs: Sequence[Callable[[], object]], parallelism: int = 4, name: str = "fits") -> list:
+    """Results of ``jobs`` in their order, ``parallelism`` at a time, each from a thread of its own with a Spark job tag.
+
+    If one fails, those not begun are dropped, the Spark jobs of the others are cancelled, also ones that they begin
+    meanwhile, and its error is raised.
+    """
+    context, tag = spark.sparkContext, f"{name}-{uuid.uuid4().hex}"
+    failed: list[BaseException] = []
+
+    def run(job):
+        if failed:
+            return None
+        context.addJobTag(tag)
+        try:
+            return job()
+        except BaseException as e:
+            failed.append(e)
+            raise
+        finally:
+            context.removeJobTag(tag)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(run), job) for job in jobs]
+        wait(running, return_when=FIRST_EXCEPTION)
+        while failed and wait(running, timeout=0.2).not_done:
+            context.cancelJobsWithTag(tag)
+    if failed:
+        raise failed[0]
+    return [f.result() for f in running]
+
+
+def kfold(df: DataFrame, key_cols: Sequence[str], k: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
+    """Plain shuffled folds (M4, ``KFold(shuffle=True)``): numbers 0..k-1 dealt round-robin in hash order over all rows,
+    so that sizes differ by one at most."""
+    d = df.withColumns({"_u": uniform_hash(key_cols, seed + 104729), "_all": F.lit(0)})
+    d = group_row_index(d, ["_all"], "_u")
+    return d.withColumn(name, (F.col("_idx") % k).cast("int")).drop("_u", "_idx", "_all")
+
+
+#: The ten scores of the source's cross validation: (name, row of the report, column).
+SCORES = [("accuracy", "accuracy", "precision")] + [
+    (f"{metric}_{avg}", f"{avg} avg", metric) for metric in ("precision", "recall", "f1") for avg in ("macro", "micro", "weighted")
+]
+
+
+def scores_of(pred: DataFrame, label: str = "label") -> dict[str, float]:
+    """All of ``SCORES`` from one confusion table."""
+    rows = {r["cls"]: r for r in classification_report(pred, label).filter(F.col("cls").isin([c for _, c, _ in SCORES])).collect()}
+    return {name: float(rows[c][column]) if rows[c][column] is not None else float("nan") for name, c, column in SCORES}
+
+
+def cross_validate(df: DataFrame, fold_col: str, k: int, fit: Callable[[DataFrame], object],
+                   score: Callable[[DataFrame], dict[str, float]] = scores_of,
+                   resample: Callable[[DataFrame], DataFrame] | None = None, parallelism: int = 4) -> list[dict[str, float]]:
+    """Per fold the scores of the model fitted on the other folds (M4, M10); ``resample`` (e.g. SMOTE) is applied to each
+    training part only, never to the held-out fold.  Folds are fitted concurrently."""
+
+    def one(f):
         train = df.filter(F.col(fold_col) != f)
-        if resample is not None:
-            train = resample(train)
-        model = make_model().fit(train)
-        scores.append(score(model.transform(df.filter(F.col(fold_col) == f))))
-    return scores
+        model = fit(train if resample is None else resample(train))
+        return score(model.transform(df.filter(F.col(fold_col) == f)))
+
+    return run_concurrently(df.sparkSession, [lambda f=f: one(f) for f in range(k)], parallelism, "folds")
 
 
-def macro_recall(pred: DataFrame) -> float:
-    rep = classification_report(pred).filter(F.col("cls") == "macro avg").first()
-    return float(rep["recall"])
+def score_frame(spark: SparkSession, per_fold: Sequence[dict[str, float]]) -> DataFrame:
+    """``metric, fold_scores, mean, std`` (population, as numpy's) over the folds, one row per metric."""
+    rows = []
+    for metric in per_fold[0] if per_fold else []:
+        values = [f[metric] for f in per_fold]
+        rows.append((metric, values, float(np.mean(values)), float(np.std(values))))
+    return spark.createDataFrame(rows, "metric string, fold_scores array<double>, mean double, std double")
 
 
 def accuracy(pred: DataFrame) -> float:
     return float(pred.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0])
 
 
-def random_search(df: DataFrame, fold_col: str, k: int, space: dict, n_iter: int, build: Callable[[dict], object],
-                  score: Callable[[DataFrame], float] = macro_recall, seed: int = 42,
-                  resample: Callable[[DataFrame], DataFrame] | None = None) -> list[tuple[dict, float, float]]:
-    """Random hyper-parameter search with k-fold CV (M9): ``[(params, mean, std)]``
-    best first.  Each fit is a distributed Spark ML job."""
-    results = []
-    for params in sample_params(space, n_iter, seed):
-        s = cross_validate(df, fold_col, k, lambda p=params: build(p), score, resample)
-        results.append((params, float(np.mean(s)), float(np.std(s))))
-    return sorted(results, key=lambda r: -r[1])
+def random_search(df: DataFrame, fold_col: str, k: int, space: dict, n_iter: int,
+                  fit: Callable[[dict, DataFrame], object], metric: str = "recall_macro", seed: int = 42,
+                  resample: Callable[[DataFrame], DataFrame] | None = None, parallelism: int = 4
+                  ) -> list[tuple[dict, float, float]]:
+    """Random hyper-parameter search with k-fold CV (M9): ``[(params, mean, std)]`` of ``metric``, best first, ties in the
+    order drawn.  All ``n_iter * k`` fits go through one pool; the result does not depend on ``parallelism``."""
+    draws = sample_params(space, n_iter, seed)
 
+    def one(params, f):
+        train = df.filter(F.col(fold_col) != f)
+        model = fit(params, train if resample is None else resample(train))
+        return scores_of(model.transform(df.filter(F.col(fold_col) == f)))[metric]
 
-def feature_importance(model, features: Sequence[str]) -> list[tuple[str, float, int]]:
-    """Per feature: impurity-gain importance (Spark's ``featureImportances``) and the
-    number of splits on it (xgboost's ``weight``) (M18)."""
-    imp = model.featureImportances.toArray() if hasattr(model, "featureImportances") else np.zeros(len(features))
-    splits = np.zeros(len(features), dtype=int)
-    trees = getattr(model, "trees", [])
-    for t in trees:
-        _count_splits(t._java_obj.rootNode(), splits)
-    return sorted(((f, float(imp[i]), int(splits[i])) for i, f in enumerate(features)), key=lambda r: -r[1])
+    found = run_concurrently(df.sparkSession, [lambda p=p, f=f: one(p, f) for p in draws for f in range(k)], parallelism, "search")
+    per_draw = [found[i * k : (i + 1) * k] for i in range(n_iter)]
+    results = [(p, float(np.mean(s)), float(np.std(s))) for p, s in zip(draws, per_draw)]
+    return sorted(results, key=lambda r: -r[1])
 
 
-def _count_splits(node, counts) -> None:
-    if node.getClass().getSimpleName() == "InternalNode":
-        counts[node.split().featureIndex()] += 1
-        _count_splits(node.leftChild(), counts)
-        _count_splits(node.rightChild(), counts)
+def forest_nodes(model, features: Sequence[str]) -> DataFrame:
+    """``tree, node, feature, threshold, gain, cover`` of a fitted Spark forest, read from what it saves: ``gain`` is the
+    impurity decrease times the node's rows, ``cover`` the node's rows (M18)."""
+    spark = SparkSession.getActiveSession()
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/forest-{uuid.uuid4().hex}"
+    model.write().save(path)
+    data = spark.read.parquet(f"{path}/data")
+    node = F.col("nodeData")
+    inner = node["leftChild"] >= 0
+    names = F.array(*[F.lit(f) for f in features])
+    return data.select(
+        F.col("treeID").alias("tree"), node["id"].alias("node"),
+        F.when(inner, F.element_at(names, node["split"]["featureIndex"] + 1)).alias("feature"),
+        F.when(inner, node["split"]["leftCategoriesOrThreshold"][0]).alias("threshold"),
+        F.when(inner, node["gain"] * node["rawCount"]).otherwise(0.0).alias("gain"), node["rawCount"].cast("double").alias("cover"),
+    )
 
 
 def logistic(reg: float = 0.0, max_iter: int = 100) -> LogisticRegression:

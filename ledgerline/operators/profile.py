@@ -13,12 +13,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 from pyspark.sql.types import NumericType
 
 from ledgerline.operators.joins import join_aggregate
-
-QUANTILE_BUCKETS = 1 << 16
+from ledgerline.operators.order_stats import exact_quantiles, join_back, quantiles_of, value_counts_by
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -68,87 +66,28 @@ def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFr
     )
 
 
-def exact_quantiles(df: DataFrame, value: str, by: Sequence[str], probs: Sequence[float],
-                    buckets: int = QUANTILE_BUCKETS) -> DataFrame:
-    """Linear-interpolation quantiles per group (pandas / ``quantile_cont``), exact and
-    without gathering a group's values in one place.
-
-    1. count rows per (group, distinct value) -- partial aggregation map-side;
-    2. value ranks: the distinct values of a group are bucketed by value range, the
-       (group, bucket) counts are prefix-summed (a small table) and ranks inside a
-       bucket come from a window over that bucket's distinct values only;
-    3. for ``h = p (n - 1)`` the values holding ranks ``floor(h)`` and ``ceil(h)`` are
-       picked and interpolated.
-    Output: ``by..., n, q0, q1, ...`` (one column per probability, in order).
-    """
-    x = F.col(value).cast("double")
-    vals = df.select(*by, x.alias("_v")).filter(F.col("_v").isNotNull())
-    per = vals.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    rng = per.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("n"))
-    per = join_aggregate(per, rng, list(by)) if by else per.withColumn("_one", F.lit(1)).join(
-        F.broadcast(rng.withColumn("_one", F.lit(1))), "_one").drop("_one")
-    width = (F.col("_hi") - F.col("_lo")) / buckets
-    per = per.withColumn("_b", F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width),
-                                                         F.lit(buckets - 1))).otherwise(0).cast("int"))
-    bt = per.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
-    prev_b = W.partitionBy(*by).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    bt = bt.select(*by, "_b", F.coalesce(F.sum("_bc").over(prev_b), F.lit(0)).alias("_off"))
-    per = join_aggregate(per, bt, [*by, "_b"])
-    prev_v = W.partitionBy(*by, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
-    per = per.withColumn("_first", F.col("_off") + F.coalesce(F.sum("_c").over(prev_v), F.lit(0)))
-    # rows [_first, _first + _c) of the sorted group hold value _v
-    picks = []
-    for i, p in enumerate(probs):
-        h = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.floor(h), F.ceil(h)
-        holds = lambda r: (F.col("_first") <= r) & (r < F.col("_first") + F.col("_c"))
-        picks += [
-            F.max(F.when(holds(lo), F.col("_v"))).alias(f"_lo{i}"),
-            F.max(F.when(holds(hi), F.col("_v"))).alias(f"_hi{i}"),
-            F.max(h - lo).alias(f"_f{i}"),
-        ]
-    g = per.groupBy(*by, "n").agg(*picks)
-    return g.select(*by, "n", *[
-        (F.col(f"_lo{i}") + F.col(f"_f{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(f"q{i}")
-        for i in range(len(probs))
-    ])
-
-
-def describe(
-    df: DataFrame,
-    cols: Sequence[str],
-    by: Sequence[str] = (),
-    exact: bool = True,
-) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """``describe()`` / ``groupby(k).describe()``: count, mean, sample std, min, linear
     25/50/75 % quantiles, max, per column (and per group) (A18, A19).
 
-    ``exact`` uses ``exact_quantiles`` (linear, as pandas; distributed, no group
-    gathered in one task); ``exact=False`` uses ``percentile_approx``.
+    All columns are stacked, so one keyed aggregate gives the moments of all of them and
+    one chain of ``order_stats`` their quantiles; a column without values keeps its row.
     """
-    fields = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    parts = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        base = [
-            F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"), F.max(x).alias("max"),
-        ]
-        if exact:
-            g = df.groupBy(*by).agg(*base) if by else df.agg(*base)
-            q = exact_quantiles(df, c, by, [0.25, 0.5, 0.75]).select(
-                *by, F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
-            g = join_aggregate(g, q, list(by), "left") if by else g.withColumn("_one", F.lit(1)).join(
-                F.broadcast(q.withColumn("_one", F.lit(1))), "_one", "left").drop("_one")
-        else:
-            qa = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000)
-            g = df.groupBy(*by).agg(*base, qa.alias("_q")) if by else df.agg(*base, qa.alias("_q"))
-            g = g.withColumns({"p25": F.col("_q")[0], "p50": F.col("_q")[1], "p75": F.col("_q")[2]}).drop("_q")
-        parts.append(g.select(*by, F.lit(c).alias("column_name"), *fields))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    keys = [*by, "column_name"]
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_x")) for c in cols]
+    stacked = df.select(*by, F.explode(F.array(*cells)).alias("_s")).select(*by, "_s.*")
+    x = F.col("_x")
+    base = stacked.groupBy(*keys).agg(
+        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+        F.max(x).alias("max"),
+    )
+    if not by:  # an empty table has a row per column, too
+        names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+        base = names.join(base, "column_name", "left").fillna(0, ["count"])
+    q = exact_quantiles(stacked, "_x", keys, [0.25, 0.5, 0.75]).select(
+        *keys, F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
+    return join_aggregate(base, q, keys, "left").select(
+        *by, "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def violation_rates(df: DataFrame, rules: dict[str, Column], places: int = 2) -> DataFrame:
@@ -180,11 +119,11 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Box-plot numbers per group: linear quartiles, 1.5 IQR whisker bounds, whisker
     ends (most extreme values inside the bounds) and the outlier count (A30).
 
-    Exact distributed quantiles, then one join back to the distinct values and their
-    counts (not the rows) to count outliers and find the whisker ends.
+    The rows are counted once per (group, value); quartiles, fences and outliers all
+    come from these counts, whose exchange is reused.
     """
-    x = F.col(value).cast("double")
-    q = exact_quantiles(df, value, by, [0.25, 0.5, 0.75]).select(
+    values = value_counts_by(df, F.col(value), by)
+    q = quantiles_of(values, by, [0.25, 0.5, 0.75]).select(
         *by, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     q = q.withColumns(
         {
@@ -192,15 +131,13 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
             "upper_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")),
         }
     )
-    values = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull()).groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    j = join_aggregate(values, q, by)
-    inside = F.col("_x").between(F.col("lower_fence"), F.col("upper_fence"))
-    ext = j.groupBy(*by).agg(
-        F.min(F.when(inside, F.col("_x"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("_x"))).alias("whisker_high"),
+    numbers = ["n", "q1", "median", "q3", "lower_fence", "upper_fence"]
+    inside = F.col("_v").between(F.col("lower_fence"), F.col("upper_fence"))
+    return join_back(values, q, by).groupBy(*by, *numbers).agg(
+        F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
+        F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
         F.sum(F.when(~inside, F.col("_c")).otherwise(0)).alias("n_outliers"),
     )
-    return join_aggregate(q, ext, by, "left")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:

@@ -83,40 +83,6 @@ def percent_distribution(df: DataFrame, c: str, places: int | None = None) -> Da
     return g.select(c, F.col("n").alias("count"), pct.alias("percent")).orderBy(c)
 
 
-def mode_by(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    value_name: str | None = None,
-    count_name: str | None = None,
-) -> DataFrame:
-    """Most frequent non-NULL ``value`` per key with its count.
-
-    Ties go to the smallest value.  Counting first means the ranking window sees one
-    row per (key, value), never the raw rows, so a hot key does not put its raw rows
-    into one task; the count itself is a partial + final aggregate.
-    """
-    value_name = value_name or f"top_{value}"
-    count_name = count_name or f"n_{value}"
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    # max_by over (count, -rank) avoids a sort: pick the largest count, ties to the smallest value
-    best = counts.groupBy(*keys).agg(
-        F.max("_n").alias(count_name),
-        F.min_by(F.col(value), F.struct(-F.col("_n"), F.col(value))).alias(value_name),
-    )
-    return best.select(*keys, value_name, count_name)
-
-
-def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """``order by ... limit k`` -> ``TakeOrderedAndProject`` (O4, O6).  Callers add a
-    unique tie-break to ``order`` so the result is deterministic."""
-    return df.orderBy(*order).limit(k)
-
-
 def pivot_counts(df: DataFrame, row: str, col: str, values: Sequence, total: str = "total") -> DataFrame:
     """Count table ``row x col`` with zero fill and a row total.
 
@@ -126,8 +92,3 @@ def pivot_counts(df: DataFrame, row: str, col: str, values: Sequence, total: str
     names = [str(v) for v in values]
     tot = sum((F.col(f"`{n}`") for n in names), F.lit(0))
     return p.withColumn(total, tot)
-
-
-def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
-    """``row_number`` within groups (used on aggregated rows only)."""
-    return df.withColumn(name, F.row_number().over(W.partitionBy(*partition).orderBy(*order)))

@@ -16,7 +16,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.distributions import chi2_p_value, f_p_value, f_sf, normal_cdf, norm_ppf, t_p_value
+from ledgerline.functions.distributions import norm_ppf
+from ledgerline.functions.tails import chi2_p_value, f_p_value, normal_cdf, t_p_value
 
 
 # --------------------------------------------------------------------------- pairwise moments
@@ -55,35 +56,6 @@ def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFra
     return j.drop("_one", *[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
 
 
-def moments(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Per group: n, sums and cross-product sums of ``cols`` (exact for p x p algebra)."""
-    pairs = list(combinations_with_replacement(cols, 2))
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.sum(F.col(c).cast("double")).alias(f"s__{c}") for c in cols]
-    aggs += [F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"p__{a}__{b}") for a, b in pairs]
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-
-
-def _mean_cov(row, cols: Sequence[str]) -> tuple[int, np.ndarray, np.ndarray]:
-    """Mean vector and sample covariance from one row of ``moments``.
-
-    Sums are centred by the mean before use; for very large n with far-from-zero
-    means the column-wise ``covar_samp`` path (Welford, numerically stable) is used
-    instead by ``cov_matrix``.
-    """
-    n = int(row["n"])
-    s = np.array([row[f"s__{c}"] for c in cols], dtype=float)
-    mean = s / n
-    p = len(cols)
-    cp = np.zeros((p, p))
-    for i, a in enumerate(cols):
-        for j in range(i, p):
-            v = row[f"p__{a}__{cols[j]}"]
-            cp[i, j] = cp[j, i] = v
-    cov = (cp - n * np.outer(mean, mean)) / (n - 1)
-    return n, mean, cov
-
-
 def cov_matrix(df: DataFrame, cols: Sequence[str], by: str | None = None) -> dict:
     """``{group: (n, mean, cov)}`` with ``covar_samp`` / ``avg`` (stable) in one aggregate."""
     pairs = list(combinations_with_replacement(cols, 2))
@@ -149,7 +121,7 @@ def two_sample(df: DataFrame, arm_col: str, arms: tuple, value: str, by: Sequenc
 def with_p_values_and_power(tests: DataFrame, alpha: float = 0.05, power: float = 0.8) -> DataFrame:
     """Adds two-sided p-values (Welch and pooled), achieved power of the observed
     effect at ``alpha`` (normal approximation) and the per-arm n for ``power`` (T1, T3).
-    Runs on the aggregated rows (one per group) through Arrow UDFs."""
+    Native columns on the aggregated rows (one per group)."""
     z_a = norm_ppf(1 - alpha / 2)
     z_b = norm_ppf(power)
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
@@ -240,8 +212,9 @@ def hotelling_t2(df: DataFrame, group_col: str, groups: tuple, cols: Sequence[st
     t2 = float(n1 * n2 / (n1 + n2) * d @ np.linalg.solve(sp, d))
     df1, df2 = p, n1 + n2 - p - 1
     f = (n1 + n2 - p - 1) / ((n1 + n2 - 2) * p) * t2
-    row = (n1, n2, t2, float(f), float(df1), float(df2), f_sf(f, df1, df2))
-    return spark.createDataFrame([row], "n1 long, n2 long, t2 double, f double, df1 double, df2 double, p_value double")
+    row = (n1, n2, t2, float(f), float(df1), float(df2))
+    out = spark.createDataFrame([row], "n1 long, n2 long, t2 double, f double, df1 double, df2 double")
+    return out.withColumn("p_value", f_p_value("f", "df1", "df2"))
 
 
 def cca(df: DataFrame, xcols: Sequence[str], ycols: Sequence[str]) -> dict:

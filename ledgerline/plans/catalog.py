@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.plans import claims, experiments, modelling, oracle, orders, trips, web_events, weekly_sales
+from ledgerline.plans import claims, experiments, files, modelling, oracle, orders, trips, web_events, weekly_sales
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -18,7 +18,11 @@ MODEL_FITTING = (
     "ml_gbdt_tuned_report",
     "ml_random_forest_report",
     "ml_feature_importance",
-    "ml_smote_class_counts",
+    "ml_gbdt_tuned_auc",
+    "ml_boosted_importance",
+    "ml_cv_metrics",
+    "ml_kfold_accuracy",
+    "ec24_model_comparison",
     "ml_random_search_gbt",
     "ml_smote_cv_macro_recall",
     "in5_lda_confusion",
@@ -46,4 +50,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _families():
-    return [weekly_sales, web_events, trips, orders, claims, experiments, modelling]
+    return [weekly_sales, web_events, trips, orders, claims, experiments, files, modelling]

@@ -9,7 +9,7 @@ jobs; metrics are Spark aggregates over the predictions.  Randomness is seeded
 from __future__ import annotations
 
 import json
-import math
+from dataclasses import replace
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
@@ -21,13 +21,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ledgerline.operators.boosting import Boosting, importance
+from ledgerline.operators.boosting import fit as boost
 from ledgerline.operators.ml import (
+    accuracy,
     classification_report,
     confusion,
     cross_validate,
-    feature_importance,
+    forest_nodes,
     hard_label_auc,
-    macro_recall,
+    kfold,
     macro_roc,
     ovr_gbt,
     ovr_scores,
@@ -35,13 +38,18 @@ from ledgerline.operators.ml import (
     random_search,
     roc_auc,
     roc_curve,
+    run_concurrently,
+    score_frame,
+    scores_of,
     stratified_folds,
     stratified_split,
 )
 from ledgerline.operators.orders import LEAD_COLUMNS
 from ledgerline.operators.smote import smote
+from ledgerline.operators.stepwise import forward
 from ledgerline.plans.orders import _model
-from ledgerline.session import cut_lineage, planning_without_constraints
+from ledgerline.session import cut_lineage
+from ledgerline.sources.store import shared_table
 from ledgerline.sources.tables import load_table
 
 FEATURES = [
@@ -66,27 +74,46 @@ SEED = 42
 
 # --------------------------------------------------------------------------- data
 
-def ml_table(spark: SparkSession, d: str) -> DataFrame:
-    """Modelling rows without NULLs (F7): ``row_id``, ``label`` (double), numeric
-    features, ``features`` vector.  ``row_id`` is deterministic: review id, a hash of
-    the row, and a counter among identical rows (the item fan-out repeats rows)."""
-    with planning_without_constraints(spark):
-        m = _model(spark, d).select(
-            "review_id",
-            F.col("review_category").cast("double").alias("label"),
-            *[F.col(c).cast("double").alias(c) for c in FEATURES],
-        ).na.drop(how="any")
-        h = F.xxhash64(*FEATURES)
-        dup = F.row_number().over(W.partitionBy("review_id", h).orderBy(F.lit(1)))
-        m = m.withColumn("row_id", F.concat_ws("|", "review_id", h.cast("string"), dup.cast("string")))
-        # the star-join lineage is cut here: model fitting scans the data many times
-        return cut_lineage(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(m))
+def ml_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Modelling rows without NULLs (F7): ``row_id``, ``label`` (double), numeric features.
+    ``row_id`` is deterministic: review id, a hash of the row, and a counter among identical
+    rows (the item fan-out repeats rows; which of them gets which number makes no difference)."""
+    m = _model(spark, d).select(
+        "review_id",
+        F.col("review_category").cast("double").alias("label"),
+        *[F.col(c).cast("double").alias(c) for c in FEATURES],
+    ).na.drop(how="any")
+    h = F.xxhash64(*FEATURES)
+    dup = F.row_number().over(W.partitionBy("review_id", h).orderBy(F.lit(1)))
+    return m.withColumn("row_id", F.concat_ws("|", "review_id", h.cast("string"), dup.cast("string")))
 
 
 def _split(spark, d):
-    table = ml_table(spark, d)
-    with planning_without_constraints(spark):
-        return cut_lineage(stratified_split(table, "label", ["row_id"], 0.2, SEED))
+    """The modelling rows with ``is_test``, written once and read pruned to a part, and ``features`` as a vector."""
+    def build():
+        return stratified_split(cut_lineage(ml_rows(spark, d)), "label", ["row_id"], 0.2, SEED)
+
+    table = shared_table(spark, "ml_split", d, build, ["is_test"])
+    return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(table)
+
+
+def _parts(spark, d) -> tuple[DataFrame, DataFrame]:
+    s = _split(spark, d)
+    return s.filter(~F.col("is_test")), s.filter(F.col("is_test"))
+
+
+def _smoted(spark, d) -> DataFrame:
+    """The training rows resampled to even classes, written once."""
+    def build():
+        train = _parts(spark, d)[0]
+        return smote(train.select("row_id", "label", F.array(*FEATURES).alias("f")), "label", "row_id", "f", k=5, seed=SEED)
+
+    return _with_features(shared_table(spark, "ml_smoted", d, build))
+
+
+def _with_features(res: DataFrame) -> DataFrame:
+    columns = [F.col("f")[i].alias(c) for i, c in enumerate(FEATURES)]
+    return res.select("row_id", "label", "synthetic", *columns, array_to_vector("f").alias("features"))
 
 
 def _report_both(model, train: DataFrame, test: DataFrame) -> DataFrame:
@@ -102,25 +129,54 @@ def ml_split_class_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ml_fold_class_counts(spark: SparkSession, d: str) -> DataFrame:
-    train = _split(spark, d).filter(~F.col("is_test"))
+    train = _parts(spark, d)[0]
     return stratified_folds(train, "label", ["row_id"], 5, SEED).groupBy("fold", "label").agg(
         F.count(F.lit(1)).alias("n"))
 
 
+def ml_kfold_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per fold of the plain shuffled folds."""
+    return kfold(_parts(spark, d)[0], ["row_id"], 5, SEED).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+def ml_smote_class_counts(spark: SparkSession, d: str) -> DataFrame:
+    return _smoted(spark, d).groupBy("label").agg(
+        F.count_if(~F.col("synthetic")).alias("n_original"), F.count_if(F.col("synthetic")).alias("n_synthetic"),
+        F.count(F.lit(1)).alias("n_total"))
+
+
 # --------------------------------------------------------------------------- boosted trees, forest
 
+# The source's tuned boosted model, and its forest.
+TUNED = Boosting(rounds=180, max_depth=5, eta=0.13022300234864176, seed=SEED)
+FOREST = {"num_trees": 500, "max_depth": 15, "min_instances": 2, "subset": "log2"}
+
+
+def _boosted(p: Boosting, train: DataFrame):
+    return boost(train, "label", FEATURES, ["row_id"], p)
+
+
+def _scored(model, rows: DataFrame) -> DataFrame:
+    """Rows with ``label``, ``prediction`` and ``scores`` only."""
+    if hasattr(model, "trees") and hasattr(model, "borders"):
+        return model.transform(rows.select("label", *FEATURES)).select("label", "prediction", "scores")
+    return model.transform(rows.select("label", "features")).select("label", "prediction", vector_to_array("probability").alias("scores"))
+
+
 def ml_ovr_gbt_report(spark: SparkSession, d: str) -> DataFrame:
-    s = _split(spark, d)
-    train, test = s.filter(~F.col("is_test")), s.filter(F.col("is_test"))
+    train, test = _parts(spark, d)
     model = ovr_gbt(max_iter=20, max_depth=5, step_size=0.1, subsampling_rate=0.8).fit(train)
     return _report_both(model, train, test)
 
 
 def ml_ovr_gbt_auc(spark: SparkSession, d: str) -> DataFrame:
-    s = _split(spark, d)
-    train, test = s.filter(~F.col("is_test")), s.filter(F.col("is_test"))
+    train, test = _parts(spark, d)
     model = ovr_gbt(max_iter=20, max_depth=5, step_size=0.1, subsampling_rate=0.8).fit(train)
-    scored = ovr_scores(model.transform(test), 3)
+    return _auc(ovr_scores(model.transform(test), 3).select("label", "scores"))
+
+
+def _auc(scored: DataFrame) -> DataFrame:
+    """One-vs-rest AUC per class and their mean (class -1)."""
     stacked = scored.select("label", F.posexplode("scores").alias("cls", "score"))
     per = roc_auc(stacked, F.col("label") == F.col("cls"), F.col("score"), by=["cls"])
     macro = per.agg(F.lit(-1).alias("cls"), F.sum("n_pos").alias("n_pos"), F.sum("n_neg").alias("n_neg"),
@@ -128,68 +184,106 @@ def ml_ovr_gbt_auc(spark: SparkSession, d: str) -> DataFrame:
     return per.unionByName(macro)
 
 
+def _both(model, train: DataFrame, test: DataFrame) -> DataFrame:
+    parts = [classification_report(_scored(model, rows)).withColumn("split", F.lit(name)) for name, rows in (("train", train), ("test", test))]
+    return parts[0].unionByName(parts[1])
+
+
 def ml_gbdt_tuned_report(spark: SparkSession, d: str) -> DataFrame:
-    """The tuned boosted model of the source: 180 trees, learning rate 0.13, depth 5."""
-    s = _split(spark, d)
-    train, test = s.filter(~F.col("is_test")), s.filter(F.col("is_test"))
-    model = ovr_gbt(max_iter=180, max_depth=5, step_size=0.13, subsampling_rate=1.0).fit(train)
-    return _report_both(model, train, test)
+    """The tuned boosted model of the source: 180 rounds for three classes, learning rate 0.13, depth 5."""
+    train, test = _parts(spark, d)
+    return _both(_boosted(TUNED, train), train, test)
 
 
-def _smote_train(train: DataFrame) -> DataFrame:
-    arr = train.select("row_id", "label", vector_to_array("features").alias("f"))
-    res = smote(arr, "label", "row_id", "f", k=5, seed=SEED)
-    return res.withColumn("features", array_to_vector("f"))
+def ml_gbdt_tuned_auc(spark: SparkSession, d: str) -> DataFrame:
+    train, test = _parts(spark, d)
+    return _auc(_scored(_boosted(TUNED, train), test))
 
 
 def ml_random_forest_report(spark: SparkSession, d: str) -> DataFrame:
-    """Forest on SMOTE-resampled training rows (500 trees, depth 15, leaf 2, log2 in the
-    source; here 100 trees), scored on untouched test rows."""
-    s = _split(spark, d)
-    train, test = s.filter(~F.col("is_test")), s.filter(F.col("is_test"))
-    model = random_forest(num_trees=100, max_depth=15, min_instances=2, subset="log2").fit(_smote_train(train))
-    return _report_both(model, train, test)
+    """Forest on SMOTE-resampled training rows (500 trees, depth 15, leaf 2, log2), scored on untouched test rows."""
+    train, test = _parts(spark, d)
+    return _both(random_forest(**FOREST).fit(_smoted(spark, d)), train, test)
 
 
 def ml_feature_importance(spark: SparkSession, d: str) -> DataFrame:
-    s = _split(spark, d).filter(~F.col("is_test"))
-    model = random_forest(num_trees=50, max_depth=10, min_instances=2, subset="log2").fit(s)
-    rows = feature_importance(model, FEATURES)
-    return spark.createDataFrame(rows, "feature string, importance double, n_splits long")
+    """Forest: splits, impurity decrease and rows per feature, from the node table of the saved trees."""
+    model = random_forest(num_trees=50, max_depth=10, min_instances=2, subset="log2").fit(_parts(spark, d)[0])
+    return importance(forest_nodes(model, FEATURES), FEATURES)
 
 
-def ml_smote_class_counts(spark: SparkSession, d: str) -> DataFrame:
-    train = _split(spark, d).filter(~F.col("is_test"))
-    res = _smote_train(train)
-    return res.groupBy("label").agg(
-        F.count_if(~F.col("synthetic")).alias("n_original"), F.count_if(F.col("synthetic")).alias("n_synthetic"),
-        F.count(F.lit(1)).alias("n_total"))
+def ml_boosted_importance(spark: SparkSession, d: str) -> DataFrame:
+    """Boosted trees: splits (weight), mean and total gain and cover per feature."""
+    model = _boosted(replace(TUNED, rounds=60), _parts(spark, d)[0])
+    return importance(model.node_table(spark), FEATURES)
+
+
+# The source's search space; rounds are a tenth of its 100 to 1000, with the learning rate ten times its 0.01 to 0.06.
+SEARCH_SPACE = {
+    "rounds": ("int", 10, 100),
+    "eta": ("uniform", 0.1, 0.5),
+    "max_depth": ("int", 3, 7),
+    "subsample": ("uniform", 0.5, 0.5),
+    "gamma": [0, 2],
+    "colsample": [0.3, 0.4, 0.5, 0.7],
+}
 
 
 def ml_random_search_gbt(spark: SparkSession, d: str) -> DataFrame:
-    """Random search (4 draws, 3 stratified folds, macro recall) over one-vs-rest GBT."""
-    train = _split(spark, d).filter(~F.col("is_test"))
-    folds = stratified_folds(train, "label", ["row_id"], 3, SEED).cache()
-    space = {
-        "max_iter": ("int", 5, 25),
-        "max_depth": ("int", 3, 7),
-        "step_size": ("uniform", 0.01, 0.3),
-        "subsampling_rate": ("uniform", 0.5, 0.5),
-    }
-    results = random_search(folds, "fold", 3, space, 4, lambda p: ovr_gbt(**p, seed=SEED), macro_recall, SEED)
-    folds.unpersist()
+    """Random search (20 draws, 3 stratified folds, macro recall) over boosted trees."""
+    train = _parts(spark, d)[0]
+    folds = cut_lineage(stratified_folds(train.select("row_id", "label", *FEATURES), "label", ["row_id"], 3, SEED))
+    results = random_search(folds, "fold", 3, SEARCH_SPACE, 20, lambda p, rows: _boosted(Boosting(**p, seed=SEED), rows), "recall_macro", SEED)
     rows = [(i + 1, json.dumps(p, sort_keys=True), m, sd) for i, (p, m, sd) in enumerate(results)]
     return spark.createDataFrame(rows, "rank int, params string, mean_macro_recall double, std_macro_recall double")
 
 
+def ml_cv_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Ten metrics over five stratified folds of the boosted model, per fold, with mean and deviation (M4)."""
+    train = _parts(spark, d)[0]
+    folds = cut_lineage(stratified_folds(train.select("row_id", "label", *FEATURES), "label", ["row_id"], 5, SEED))
+    return score_frame(spark, cross_validate(folds, "fold", 5, lambda rows: _boosted(replace(TUNED, rounds=60), rows)))
+
+
+def ml_kfold_accuracy(spark: SparkSession, d: str) -> DataFrame:
+    """Accuracy over five plain shuffled folds of the boosted model (M4)."""
+    train = _parts(spark, d)[0]
+    folds = cut_lineage(kfold(train.select("row_id", "label", *FEATURES), ["row_id"], 5, SEED))
+    scores = cross_validate(folds, "fold", 5, lambda rows: _boosted(replace(TUNED, rounds=60), rows), lambda p: {"accuracy": accuracy(p)})
+    return score_frame(spark, scores)
+
+
 def ml_smote_cv_macro_recall(spark: SparkSession, d: str) -> DataFrame:
     """3-fold CV with SMOTE applied inside each training part only."""
-    train = _split(spark, d).filter(~F.col("is_test"))
-    folds = stratified_folds(train, "label", ["row_id"], 3, SEED).cache()
-    scores = cross_validate(folds, "fold", 3, lambda: ovr_gbt(max_iter=10, max_depth=4, seed=SEED), macro_recall,
-                            resample=lambda df: _smote_train(df))
-    folds.unpersist()
-    return spark.createDataFrame([(i, float(s)) for i, s in enumerate(scores)], "fold int, macro_recall double")
+    train = _parts(spark, d)[0]
+    folds = cut_lineage(stratified_folds(train.select("row_id", "label", *FEATURES), "label", ["row_id"], 3, SEED))
+
+    def resample(rows):
+        return _with_features(cut_lineage(smote(rows.select("row_id", "label", F.array(*FEATURES).alias("f")), "label", "row_id", "f", k=5, seed=SEED)))
+
+    scores = cross_validate(folds, "fold", 3, lambda rows: _boosted(Boosting(rounds=30, max_depth=4, eta=0.3, seed=SEED), rows), resample=resample)
+    return spark.createDataFrame([(i, s["recall_macro"]) for i, s in enumerate(scores)], "fold int, macro_recall double")
+
+
+def ec24_model_comparison(spark: SparkSession, d: str) -> DataFrame:
+    """Three models on the same split, with and without SMOTE: ten metrics on the test rows each (EC24)."""
+    train, test = _parts(spark, d)
+    models = {
+        "boosted": lambda rows: _boosted(replace(TUNED, rounds=60), rows),
+        "boosted_ovr": lambda rows: ovr_gbt(max_iter=20, max_depth=5, step_size=0.1, subsampling_rate=0.8).fit(rows),
+        "forest": lambda rows: random_forest(num_trees=100, max_depth=15, min_instances=2, subset="log2").fit(rows),
+    }
+    sources = {"as_is": train, "smote": _smoted(spark, d)}
+
+    def run(name, source):
+        model = models[name](sources[source])
+        pred = _scored(model, test) if name != "boosted_ovr" else model.transform(test.select("label", "features")).select("label", "prediction")
+        return (name, source, scores_of(pred))
+
+    pairs = [(name, source) for name in models for source in sources]
+    found = run_concurrently(spark, [lambda p=p: run(*p) for p in pairs], 3, "comparison")
+    rows = [(name, source, metric, value) for name, source, scores in found for metric, value in scores.items()]
+    return spark.createDataFrame(rows, "model string, training string, metric string, value double")
 
 
 # --------------------------------------------------------------------------- metrics on a rule baseline
@@ -264,38 +358,10 @@ def _doc_split(spark, d):
     return cut_lineage(stratified_split(doc_table(spark, d), "label", ["doc_id"], 0.2, SEED))
 
 
-def _aic(df: DataFrame, cols: list[str]) -> float:
-    data = VectorAssembler(inputCols=cols, outputCol="features").transform(df) if cols else df.withColumn(
-        "features", array_to_vector(F.array(F.lit(0.0))))
-    glr = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=50, fitIntercept=True)
-    if not cols:
-        # intercept-only: AIC from the class share directly
-        r = df.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("k")).first()
-        n, k = r["n"], r["k"]
-        p = k / n
-        ll = (k * math.log(p) if k else 0.0) + ((n - k) * math.log(1 - p) if n - k else 0.0)
-        return -2 * ll + 2
-    return float(glr.fit(data).summary.aic)
-
-
 def t7_stepwise_logit(spark: SparkSession, d: str) -> DataFrame:
-    """Forward selection: add the feature that lowers AIC most, until none does."""
-    data = doc_table(spark, d).cache()
-    chosen: list[str] = []
-    best = _aic(data, chosen)
-    rows = [(0, None, best)]
-    while True:
-        trials = [(f, _aic(data, chosen + [f])) for f in DOC_FEATURES if f not in chosen]
-        if not trials:
-            break
-        f, aic = min(trials, key=lambda x: x[1])
-        if aic >= best:
-            break
-        chosen.append(f)
-        best = aic
-        rows.append((len(chosen), f, aic))
-    data.unpersist()
-    return spark.createDataFrame(rows, "step int, added_feature string, aic double")
+    """Forward selection by score statistics; a feature stays if its refit lowers the AIC."""
+    path = forward(cut_lineage(doc_table(spark, d)), "label", DOC_FEATURES)
+    return spark.createDataFrame(path, "step int, added_feature string, aic double, score_statistic double")
 
 
 def t8_odds_ratios(spark: SparkSession, d: str) -> DataFrame:
@@ -393,9 +459,15 @@ def t12_multimodal_compare(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "ml_split_class_counts": ml_split_class_counts,
     "ml_fold_class_counts": ml_fold_class_counts,
+    "ml_kfold_counts": ml_kfold_counts,
     "ml_ovr_gbt_report": ml_ovr_gbt_report,
     "ml_ovr_gbt_auc": ml_ovr_gbt_auc,
     "ml_gbdt_tuned_report": ml_gbdt_tuned_report,
+    "ml_gbdt_tuned_auc": ml_gbdt_tuned_auc,
+    "ml_boosted_importance": ml_boosted_importance,
+    "ml_cv_metrics": ml_cv_metrics,
+    "ml_kfold_accuracy": ml_kfold_accuracy,
+    "ec24_model_comparison": ec24_model_comparison,
     "ml_random_forest_report": ml_random_forest_report,
     "ml_feature_importance": ml_feature_importance,
     "ml_smote_class_counts": ml_smote_class_counts,

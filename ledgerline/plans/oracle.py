@@ -479,4 +479,7 @@ def all_sql() -> dict[str, str]:
     from ledgerline.plans.oracle_ml import ML_SQL
 
     out.update(ML_SQL)
+    from ledgerline.plans.oracle_files import FILES_SQL
+
+    out.update(FILES_SQL)
     return out

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import exact_pct, exact_ratio
+from ledgerline.operators.encode import category_dictionary, flag_totals, one_hot
 from ledgerline.operators.orders import (
     LEAD_COLUMNS,
     clean_orders,
@@ -32,6 +33,7 @@ from ledgerline.operators.profile import (
 )
 from ledgerline.operators.share import percent_distribution, pivot_counts, value_counts, with_total
 from ledgerline.plans import standins as S
+from ledgerline.sources.store import shared_table
 
 
 def mean_exact(c: str) -> Column:
@@ -39,7 +41,7 @@ def mean_exact(c: str) -> Column:
     return F.sum(c).cast("double") / F.count(c)
 
 
-def _model(spark, d) -> DataFrame:
+def build_model(spark: SparkSession, d: str) -> DataFrame:
     m = model_table(
         S.ec_orders(spark, d),
         S.ec_customers(spark, d),
@@ -53,6 +55,11 @@ def _model(spark, d) -> DataFrame:
     return m.withColumn("review_category", review_category("review_score"))
 
 
+def _model(spark, d) -> DataFrame:
+    """The modelling table as written by the first query that needs it, by review class (EC13)."""
+    return shared_table(spark, "ec_model", d, lambda: build_model(spark, d), ["review_category"])
+
+
 # ----------------------------------------------------------------------- payments
 
 def ec1_profile_payments(spark: SparkSession, d: str) -> DataFrame:
@@ -150,6 +157,34 @@ def ec7_clean_products(spark: SparkSession, d: str) -> DataFrame:
     return _products(spark, d)
 
 
+# The categories that the fill rules translate; others without a translation stay NULL.
+FILL_RULES = {"promo_ring": "promo ring", "promo_rod": "promo rod"}
+
+
+def ec7_filled_products(spark: SparkSession, d: str) -> DataFrame:
+    """The products with the two fill rules only, as the source fills them (P10)."""
+    return clean_products(S.ec_products(spark, d), S.ec_category_translation(spark, d), FILL_RULES)
+
+
+def _flagged(spark, d):
+    p = _products(spark, d)
+    dictionary = category_dictionary(p, "product_category_name_english")
+    return one_hot(p, "product_category_name_english", dictionary), list(dictionary)
+
+
+def ec7_category_flags(spark: SparkSession, d: str) -> DataFrame:
+    """How many products each data-driven 0/1 column marks."""
+    return flag_totals(*_flagged(spark, d))
+
+
+def ec7_flags_by_photos(spark: SparkSession, d: str) -> DataFrame:
+    """The 0/1 columns summed by number of photos, in long form."""
+    wide, names = _flagged(spark, d)
+    g = wide.groupBy("product_photos_qty").agg(*[F.sum(F.col(f"`{c}`")).alias(f"_s{i}") for i, c in enumerate(names)])
+    cells = F.array(*[F.struct(F.lit(c).alias("flag"), F.col(f"_s{i}").alias("n_ones")) for i, c in enumerate(names)])
+    return g.select("product_photos_qty", F.explode(cells).alias("_c")).select("_c.flag", "product_photos_qty", "_c.n_ones")
+
+
 def ec8_photo_distribution(spark: SparkSession, d: str) -> DataFrame:
     return percent_distribution(_products(spark, d), "product_photos_qty")
 
@@ -356,6 +391,9 @@ QUERIES = {
     "ec6_order_payment_features": ec6_order_payment_features,
     "ec6_payment_flag_shares": ec6_payment_flag_shares,
     "ec7_clean_products": ec7_clean_products,
+    "ec7_filled_products": ec7_filled_products,
+    "ec7_category_flags": ec7_category_flags,
+    "ec7_flags_by_photos": ec7_flags_by_photos,
     "ec8_photo_distribution": ec8_photo_distribution,
     "ec9_status_counts": ec9_status_counts,
     "ec9_date_violations": ec9_date_violations,

@@ -8,10 +8,13 @@ get a scratch folder of their own, and only when the setting is unset.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
-from contextlib import contextmanager
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
@@ -56,21 +59,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-@contextmanager
-def planning_without_constraints(spark: SparkSession):
-    """Deep plans (a star join feeding windows over ~20 NOT NULL columns) make
-    Catalyst's constraint propagation grow combinatorially; switch it off while such
-    a plan is optimised, then restore the session's setting."""
-    key = "spark.sql.constraintPropagation.enabled"
-    old = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: lineage ends there, and columns are read as needed."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_sent: set[str] = set()
+
+
+def send_library(spark: SparkSession) -> None:
+    """Give the executors this library's code, once per application, for the steps that run in Python there."""
+    context = spark.sparkContext
+    if context.applicationId not in _sent:
+        package = os.path.dirname(os.path.abspath(__file__))
+        name = os.path.basename(package)
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), f"{name}-code"), "zip", os.path.dirname(package), name)
+        context.addPyFile(archive)
+        _sent.add(context.applicationId)
+
+
+def in_arrow(df: DataFrame, step: Callable, schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow(step, schema)`` with the library's code on the executors."""
+    send_library(df.sparkSession)
+    return df.mapInArrow(step, schema)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerline.session import written
+
 TEST_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -49,6 +51,29 @@ def read_csv_set(
     return df
 
 
+REJECTED = "_rejected"
+
+
+def read_csv_with_rejects(spark: SparkSession, paths: str | Sequence[str], schema: str, header: bool = True) -> DataFrame:
+    """A CSV set whose malformed lines stay visible: ``_rejected`` holds a line that does not fit ``schema`` (wrong number
+    of fields, a value of another type), and is NULL for the others; ``source_file`` is the file's name.
+
+    The parser converts only the columns that a query reads, so whether a line is rejected would depend on the query.
+    All columns are therefore parsed once and written to the shared folder; what is returned reads that.
+    """
+    df = spark.read.options(header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED)
+    df = df.schema(f"{schema}, {REJECTED} string").csv(list(paths) if not isinstance(paths, str) else paths)
+    return written(df.withColumn("source_file", F.col("_metadata.file_name")), "parsed")
+
+
+def rejects_by_file(df: DataFrame, by: str = "source_file") -> DataFrame:
+    """``n_lines, n_rejected, n_kept`` per file (or per ``by``)."""
+    return df.groupBy(by).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count(REJECTED).alias("n_rejected"),
+        F.count_if(F.col(REJECTED).isNull()).alias("n_kept"),
+    )
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Persist a cleaned table, replacing the old one (S5: a materialized view as a written table)."""
     w = df.write.mode(mode)

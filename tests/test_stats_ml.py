@@ -118,7 +118,7 @@ def test_auc_equals_brute_force_with_ties(spark):
     s = np.round(rng.uniform(size=300), 2)  # many ties
     y = (rng.uniform(size=300) < s).astype(int)
     df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(s, y)], "s double, y int")
-    got = roc_auc(df, F.col("y") == 1, F.col("s"), buckets=16).first().auc
+    got = roc_auc(df, F.col("y") == 1, F.col("s")).first().auc
     pos, neg = s[y == 1], s[y == 0]
     brute = np.mean([(p > q) + 0.5 * (p == q) for p in pos for q in neg])
     assert got == pytest.approx(brute, abs=1e-12)
@@ -152,8 +152,7 @@ def test_smote_neighbours_exact_and_invariants(spark):
     pts = {0: rng.normal(size=(60, 3)), 1: rng.normal(size=(14, 3)) + 2, 2: rng.normal(size=(1, 3))}
     rows = [(f"{c}-{i}", float(c), [float(v) for v in p]) for c, arr in pts.items() for i, p in enumerate(arr)]
     df = spark.createDataFrame(rows, "id string, label double, f array<double>")
-    nn = {r.id: r.nn_ids for r in nearest_neighbours(df.filter("label = 1"), "label", "id", "f", k=5,
-                                                       window=2).collect()}
+    nn = {r.id: r.nn_ids for r in nearest_neighbours(df.filter("label = 1"), "label", "id", "f", k=5).collect()}
     arr = pts[1]
     for i in range(len(arr)):
         d = np.linalg.norm(arr - arr[i], axis=1)
