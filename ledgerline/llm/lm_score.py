@@ -9,9 +9,12 @@ text is preceded by ``ORDER`` start marks (byte 0xFE) and followed by an end mar
 UTF-8 never uses.
 
 For a trained model the cost of a byte depends on its context alone, so a document's code length is a
-sum over its distinct (ORDER + 1)-grams. Frequent grams and words (chosen by count, at most
-``FREQUENT_GRAMS`` and ``FREQUENT_WORDS`` of them) go to the executors as a broadcast table; all
-others are looked up by shuffled joins. Everything is counted over all training documents.
+sum over its distinct (ORDER + 1)-grams. One pass over all documents counts words and grams, those of
+held-out documents as zero; the costs of all grams met are then found level by level, one join with the
+contexts of an order at a time, each context a row with its bytes and their counts. Frequent grams and words
+(chosen by count, at most ``FREQUENT_GRAMS`` and ``FREQUENT_WORDS`` of them) go to the executors as a
+broadcast table; the others of each document are looked up by shuffled joins. Everything is counted over
+all training documents. Words are told apart by their 64-bit hashes.
 
 Rows: null or empty text: one token (the end), the score of the end mark alone. Repeated rows each get
 their row; null ids are ids like any other. Without training rows every byte costs log10 of 1/256 and the
@@ -20,7 +23,6 @@ base score is that of zero counts. Other columns are ignored. Empty table: no ro
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.shared import crc_mod, mapped, stored, text_bytes, text_steps
+from ledgerline.llm.shared import crc_mod, mapped, stored, text_bytes, text_steps, word_hashes
 
 ORDER = 5
 START, END = 0xFE, 0xFF
 FREQUENT_WORDS, FREQUENT_GRAMS = 1 << 16, 1 << 20
-#: Distinct words and grams that a task gathers before it hands its counts on.
-HELD_COUNTS = 300_000
+#: Distinct words and grams that a task gathers before it hands its counts on, and text that a step counts.
+HELD_COUNTS, STEP = 1 << 20, 1 << 20
+#: Kinds of counted keys: grams, words, texts.
+GRAM, WORD, TEXT = 0, 1, 2
 
 
 def grams(texts: pa.Array, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -55,37 +59,49 @@ def grams(texts: pa.Array, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     return key[own], bounds + np.arange(len(bounds))
 
 
+class _Counts:
+    """Sorted keys and their counts; merging two sorted runs is linear."""
+
+    def __init__(self):
+        self.keys, self.n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def add(self, keys: np.ndarray, weight: int) -> None:
+        """Counts each of ``keys`` as ``weight`` (0: only that it occurs)."""
+        code, found = pd.factorize(keys)
+        n = np.bincount(code, minlength=len(found)) * weight
+        order = np.argsort(found)
+        both = np.concatenate([self.keys, found[order]])
+        n = np.concatenate([self.n, n[order]])
+        order = np.argsort(both, kind="stable")
+        both = both[order]
+        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, dtype=np.int64)
+        self.keys, self.n = both[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the words and grams of a task's texts, and of its texts (the word ``null``)."""
-    words: Counter = Counter()
-    held: dict[int, int] = {}
-    n = 0
+    """Counts (kind, key, n) of a task's texts; what only held-out texts have counts zero."""
+    held = {GRAM: _Counts(), WORD: _Counts()}
+    texts_seen = 0
 
     def flush():
-        rows = [(w, None, c) for w, c in words.items()] + ([(None, None, n)] if n else [])
-        w, _, c = zip(*rows) if rows else ((), (), ())
-        gram, count = np.fromiter(held.keys(), np.int64, len(held)), np.fromiter(held.values(), np.int64, len(held))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.concat_arrays([pa.array(w, pa.binary()), pa.nulls(len(gram), pa.binary())]),
-                pa.concat_arrays([pa.nulls(len(w), pa.int64()), pa.array(gram)]),
-                pa.concat_arrays([pa.array(c, pa.int64()), pa.array(count)]),
-            ],
-            names=["word", "gram", "n"],
-        )
+        parts = [(GRAM, held[GRAM].keys, held[GRAM].n), (WORD, held[WORD].keys, held[WORD].n), (TEXT, np.zeros(1, dtype=np.int64), np.array([texts_seen]))]
+        kinds = np.concatenate([np.full(len(k), kind, dtype=np.int8) for kind, k, _ in parts])
+        return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(np.concatenate([k for _, k, _ in parts])), pa.array(np.concatenate([n for *_, n in parts]).astype(np.int64))], names=["kind", "key", "n"])
 
     for batch in batches:
-        for _, texts in text_steps(batch, step=1 << 19):
-            n += len(texts)
-            for t in texts:
-                words.update(t.as_buffer().to_pybytes().lower().split())
-            code, found = pd.factorize(grams(texts)[0])
-            for g, c in zip(found.tolist(), np.bincount(code, minlength=len(found)).tolist()):
-                held[g] = held.get(g, 0) + c
-            if len(words) + len(held) > HELD_COUNTS:
+        for part, texts in text_steps(batch, step=STEP):
+            out = part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            for weight, rows in ((1, np.flatnonzero(~out)), (0, np.flatnonzero(out))):
+                if not len(rows):
+                    continue
+                own = texts.take(pa.array(rows))
+                held[GRAM].add(grams(own)[0], weight)
+                if weight:
+                    held[WORD].add(word_hashes(own)[0].view(np.int64), 1)
+                    texts_seen += len(rows)
+            if len(held[GRAM].keys) + len(held[WORD].keys) > HELD_COUNTS:
                 yield flush()
-                words.clear(), held.clear()
-                n = 0
+                held, texts_seen = {GRAM: _Counts(), WORD: _Counts()}, 0
     yield flush()
 
 
@@ -101,35 +117,37 @@ def _frequent(counts: DataFrame, most: int) -> int:
     return 1 << at
 
 
-def _model(counted: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """For orders 0 to ORDER: ``(gram, n)`` and, by context, total, different bytes and what they count one order lower."""
-    out: list[tuple[DataFrame, DataFrame]] = []
+def _contexts(counted: DataFrame) -> list[DataFrame]:
+    """For orders 0 to ORDER: per context its total, different bytes, what these count one order lower, and ``seen``,
+    an array of (byte, n) with 256 entries at most."""
+    out: list[DataFrame] = []
+    shorter = None
     for order in range(ORDER + 1):
         mask = (1 << 8 * (order + 1)) - 1
-        own = counted if order == ORDER else counted.groupBy(F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.sum("n").alias("n"))
-        if order < ORDER:
-            own = stored(own, f"grams{order}")
-        shorter = out[-1][0].toDF("low", "low_n") if out else None
-        both = own.withColumn("low_n", F.lit(0)) if shorter is None else own.join(shorter, F.col("gram").bitwiseAND(mask >> 8) == F.col("low"), "left")
-        contexts = both.groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("low_n").alias("low_total"))
-        out.append((own, stored(contexts, f"contexts{order}")))
+        own = counted if order == ORDER else stored(counted.groupBy(F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.sum("n").alias("n")), f"grams{order}")
+        both = own.withColumn("low_n", F.lit(0)) if shorter is None else own.join(shorter, F.col("gram").bitwiseAND(mask >> 8) == F.col("low"))
+        byte = F.col("gram").bitwiseAND(255).cast("short")
+        contexts = both.groupBy(F.shiftright("gram", 8).alias("context")).agg(
+            F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("low_n").alias("low_total"), F.map_from_entries(F.collect_list(F.struct(byte, "n"))).alias("seen")
+        )
+        out.append(stored(contexts, f"contexts{order}"))
+        shorter = own.toDF("low", "low_n")
     return out
 
 
-def _costs(keys: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """``(gram, cost)``: log10 of each gram's probability, from the longest context down."""
+def _costs(keys: DataFrame, contexts: list[DataFrame]) -> DataFrame:
+    """``(gram, cost)``: log10 of each gram's probability, from the longest context down, one join for each order."""
     state = keys.select("gram").withColumns({"cost": F.lit(None).cast("double"), "paid": F.lit(0.0), "out_total": F.lit(0).cast("long"), "out_kinds": F.lit(0).cast("long")})
     for order in range(ORDER, -1, -1):
-        own, contexts = model[order]
         mask = (1 << 8 * (order + 1)) - 1
-        state = state.join(own.toDF("g", "own_n"), F.col("gram").bitwiseAND(mask) == F.col("g"), "left")
-        state = state.join(contexts, F.shiftright(F.col("gram").bitwiseAND(mask), 8) == F.col("context"), "left")
+        state = state.join(contexts[order], F.shiftright(F.col("gram").bitwiseAND(mask), 8) == F.col("context"), "left")
+        own_n = F.try_element_at("seen", F.col("gram").bitwiseAND(255).cast("short"))
         room = F.col("total") - F.col("out_total") + F.col("kinds") - F.col("out_kinds")
         left = F.col("kinds") - F.col("out_kinds")
         known = F.col("context").isNotNull()
         state = state.select(
             "gram",
-            F.when(F.col("cost").isNotNull(), F.col("cost")).when(F.col("own_n").isNotNull(), F.col("paid") + F.log10(F.col("own_n") / room)).alias("cost"),
+            F.when(F.col("cost").isNotNull(), F.col("cost")).when(own_n.isNotNull(), F.col("paid") + F.log10(own_n / room)).alias("cost"),
             F.when(known & (left > 0), F.col("paid") + F.log10(left / room)).otherwise(F.col("paid")).alias("paid"),
             F.when(known, F.col("low_total")).otherwise(F.lit(0)).alias("out_total"),
             F.when(known, F.col("kinds")).otherwise(F.lit(0)).alias("out_kinds"),
@@ -138,41 +156,49 @@ def _costs(keys: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFra
     return state.select("gram", F.coalesce("cost", F.col("paid") - F.log10(unseen)).alias("cost"))
 
 
+def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``wanted`` are among the sorted ``keys``, and their values (0 for the others)."""
+    if not len(keys):
+        return np.zeros(len(wanted), dtype=bool), np.zeros(len(wanted))
+    at = np.searchsorted(keys, wanted)
+    at[at == len(keys)] = 0
+    hit = keys[at] == wanted
+    return hit, np.where(hit, values[at], 0.0)
+
+
+def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of ``values`` between ``bounds``; empty ranges are 0."""
+    upto = np.add.reduceat(np.append(values, 0), bounds[:-1]) if len(bounds) > 1 else np.zeros(0)
+    return np.where(np.diff(bounds) > 0, upto, 0)
+
+
+def _rare(code: np.ndarray, found: np.ndarray, hit: np.ndarray, bounds: np.ndarray, name: str) -> pa.Array:
+    """Per text a list of (key, times) of the keys that were not looked up."""
+    miss = np.flatnonzero(~hit[code])
+    doc = np.searchsorted(bounds, miss, side="right") - 1
+    pair, n = np.unique(doc * max(1, len(found)) + code[miss], return_counts=True)
+    cuts = np.searchsorted(pair // max(1, len(found)), np.arange(len(bounds)))
+    rows = pa.StructArray.from_arrays([pa.array(found[pair % max(1, len(found))]), pa.array(n, pa.int64())], [name, "times"])
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rows)
+
+
 def _scorer(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, keys, costs = shared.value
+        word_keys, word_costs, keys, costs = shared.value
         for batch in batches:
-            for part, texts in text_steps(batch, step=1 << 19):
+            for part, texts in text_steps(batch, step=STEP >> 1):
                 key, bounds = grams(texts)
                 code, found = pd.factorize(key)
-                at = np.searchsorted(keys, found)
-                at[at == len(keys)] = 0
-                hit = keys[at] == found if len(keys) else np.zeros(len(found), dtype=bool)
-                cost = np.where(hit, costs[at], 0.0) if len(keys) else np.zeros(len(found))
-                total = np.add.reduceat(cost[code], bounds[:-1])
-                miss = np.flatnonzero(~hit[code])
-                doc = np.searchsorted(bounds, miss, side="right") - 1
-                pair, n = np.unique(doc * len(found) + code[miss], return_counts=True)
-                rare_doc, rare_gram = pair // len(found), found[pair % len(found)]
-                cuts = np.searchsorted(rare_doc, np.arange(len(texts) + 1))
-                tokens, known, base, left, left_n, upto = [], [], [], [], [], [0]
-                for t in texts:
-                    own = Counter(t.as_buffer().to_pybytes().lower().split())
-                    k, b = 0, 0.0
-                    for w, c in own.items():
-                        cost_of = words.get(w)
-                        if cost_of is None:
-                            left.append(w), left_n.append(c)
-                        else:
-                            k += c
-                            b += c * cost_of
-                    tokens.append(own.total() + 1), known.append(k), base.append(b), upto.append(len(left))
+                hit, cost = _looked_up(keys, costs, found)
+                words, at = word_hashes(texts)
+                word_code, word_found = pd.factorize(words.view(np.int64))
+                word_hit, word_cost = _looked_up(word_keys, word_costs, word_found)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("row"), part.column("doc_id"), part.column("held_out"),
-                        *(pa.array(x, pa.int64()) for x in (tokens, known)), pa.array(base, pa.float64()), pa.array(total, pa.float64()),
-                        pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.StructArray.from_arrays([pa.array(left, pa.binary()), pa.array(left_n, pa.int64())], ["word", "times"])),
-                        pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.StructArray.from_arrays([pa.array(rare_gram, pa.int64()), pa.array(n, pa.int64())], ["gram", "times"])),
+                        pa.array(np.diff(at) + 1, pa.int64()), pa.array(_sums(word_hit[word_code].astype(np.int64), at), pa.int64()),
+                        pa.array(_sums(word_cost[word_code], at), pa.float64()), pa.array(_sums(cost[code], bounds), pa.float64()),
+                        _rare(word_code, word_found, word_hit, at, "word"), _rare(code, found, hit, bounds, "gram"),
                     ],
                     names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "cost", "words", "grams"],
                 )
@@ -187,25 +213,24 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     under the model, ``base_score`` that of its words under smoothed unigram counts.
     """
     spark = docs.sparkSession
-    train = docs.where(~held_out).select("text")
-    counted = stored(mapped(train, _count, "word binary, gram long, n long").groupBy("word", "gram").agg(F.sum("n").alias("n")), "counts")
-    words = counted.where("word is not null").select("word", "n")
-    gram_counts = counted.where("gram is not null").select("gram", "n")
-    ends = counted.where("word is null and gram is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    counted = mapped(docs.select(F.coalesce(held_out, F.lit(True)).alias("held_out"), "text"), _count, "kind byte, key long, n long")
+    counted = stored(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+    words = counted.where(F.col("kind") == WORD).select(F.col("key").alias("word"), "n")
+    met = counted.where(F.col("kind") == GRAM).select(F.col("key").alias("gram"), "n")
+    gram_counts = met.where("n > 0")
+    ends = counted.where(F.col("kind") == TEXT).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n_words, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, kinds = n_words + ends, kinds + (ends > 0)
     share = float(np.log10(total + 0.5 * (kinds + 1)))
 
-    model = _model(gram_counts)
-    often = gram_counts.where(F.col("n") >= _frequent(gram_counts, FREQUENT_GRAMS)).select("gram")
-    table = stored(_costs(often, model), "costs").toArrow().sort_by("gram")  # at most FREQUENT_GRAMS rows
-    common = words.where(F.col("n") >= _frequent(words, FREQUENT_WORDS)).toArrow()  # at most FREQUENT_WORDS rows
-    known = dict(zip(common["word"].to_pylist(), (np.log10(common["n"].to_numpy() + 0.5) - share).tolist()))
-    shared = spark.sparkContext.broadcast((known, table["gram"].to_numpy(), table["cost"].to_numpy()))
+    costs = stored(_costs(met, _contexts(gram_counts)).join(met, "gram"), "costs")
+    often = costs.where(F.col("n") >= _frequent(gram_counts, FREQUENT_GRAMS)).select("gram", "cost").toArrow().sort_by("gram")  # at most FREQUENT_GRAMS rows
+    common = words.where(F.col("n") >= _frequent(words, FREQUENT_WORDS)).toArrow().sort_by("word")  # at most FREQUENT_WORDS rows
+    shared = spark.sparkContext.broadcast((common["word"].to_numpy(), np.log10(common["n"].to_numpy() + 0.5) - share, often["gram"].to_numpy(), often["cost"].to_numpy()))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", held_out.alias("held_out"), "text")
-    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, cost double, words array<struct<word:binary,times:long>>, grams array<struct<gram:long,times:long>>"
+    schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, cost double, words array<struct<word:long,times:long>>, grams array<struct<gram:long,times:long>>"
     scored = stored(mapped(source, _scorer(shared), schema), "scored")
 
     def logged(n):
@@ -214,8 +239,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     rare = scored.select("row", F.explode("words").alias("w")).select("row", "w.word", "w.times").join(words, "word", "left")
     rare = rare.groupBy("row").agg(F.sum(F.col("times") * logged(F.col("n"))).alias("more_base"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"))
     missing = scored.select("row", F.explode("grams").alias("g")).select("row", "g.gram", "g.times")
-    costs = stored(_costs(missing.select("gram").distinct(), model), "rare_costs")
-    missing = missing.join(costs, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("cost")).alias("more_cost"))
+    missing = missing.join(costs.drop("n"), "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("cost")).alias("more_cost"))
     rows = scored.drop("words", "grams").join(rare, "row", "left").join(missing, "row", "left")
     zero = F.lit(0)
     return rows.select(
