@@ -10,12 +10,13 @@ block ends when its k-th best verified distance is within R, for then every near
 collided often enough with probability ``1 - MISS``; there is no cap on candidates. The number of
 projections and the threshold follow from ``MISS`` and the share ``FALSE`` of far vectors that may
 be verified. Blocks of queries meet blocks of vectors in bounded tasks; the best of all blocks
-are merged.
+are merged. Near vectors of unstructured data lie in all blocks, so every query has to meet every block: the work
+is that of queries times vectors, and counts are taken from the smaller of a window and its complement.
 
-Rows: vectors that are null, zero, or hold null or non-finite components take no part; neither do vectors whose
-length is not the table's most frequent one (of equally frequent, the longer). Rows with equal ids count once
-(the vector that is first in order). Ties go to the smaller id. Fewer candidates than asked for: all of
-them. Extra columns are ignored. Empty table: no rows.
+Rows: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do rows without an id.
+Vectors of one length are a collection of their own: a query is answered among those of its length. Rows with
+equal ids are rows of their own, as queries and as candidates. Ties go to the smaller id. Fewer candidates than asked for:
+all of them. Extra columns are ignored. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -31,8 +32,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.shared import mapped, runs, stored
 
-BLOCK, QUERIES = 8192, 4096
+#: Vectors of a block, queries of a group, and most groups (every vector is sent to each).
+BLOCK, QUERIES, GROUPS = 32768, 1024, 4
 RATIO, MISS, FALSE, SEED = 2.0, 0.05, 0.02, 7
+#: Most partitions of tiles; further tiles share them.
+MOST_PARTITIONS = 10_000
 #: Places to each side in the smallest windows; first full radius, as a share of the one that these give.
 FIRST, SHRINK = 48, 0.9
 
@@ -47,65 +51,72 @@ def parameters(miss: float = MISS, false: float = FALSE, ratio: float = RATIO) -
 
 
 class Block:
-    """One block's vectors and its sorted projections."""
+    """One block's vectors and its sorted projections. ``rows`` tell rows apart, ``ids`` order ties."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
-        self.lengths = (self.vectors**2).sum(axis=1)
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, longest: float):
+        self.rows, self.ids, self.vectors = rows, ids, np.ascontiguousarray(vectors)
+        self.place = {r: i for i, r in enumerate(rows.tolist())}
         self.longest = longest
         self.width, n, self.threshold = parameters()
         self.directions = np.random.default_rng(SEED).standard_normal((vectors.shape[1] + 1, n))
-        extended = np.column_stack([self.vectors, np.sqrt(np.maximum(longest - self.lengths, 0))])
-        projected = extended @ self.directions
-        self.order = np.argsort(projected, axis=0).T.astype(np.int32)
-        self.sorted = np.sort(projected, axis=0).T.copy()
-
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and inner products of the k best vectors other than the query's own, best first."""
-        n, m = len(self.ids), len(self.sorted)
+        extra = np.sqrt(np.maximum(longest - (vectors**2).sum(axis=1), 0))
+        self.order = np.empty((n, len(ids)), dtype=np.intp)
+        self.sorted = np.empty((n, len(ids)))
+        for j, direction in enumerate(self.directions.T):
+            projected = vectors @ direction[:-1] + extra * direction[-1]
+            self.order[j] = np.argsort(projected, kind="stable")
+            self.sorted[j] = projected[self.order[j]]
+
+    def _collisions(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """In how many windows ``lo[j]:hi[j]`` each vector lies, counted inside or outside, whichever is less."""
+        m, n = self.order.shape
+        if 2 * int((hi - lo).sum()) <= m * n:
+            return np.bincount(np.concatenate([row[i:j] for row, i, j in zip(self.order, lo.tolist(), hi.tolist())]), minlength=n)
+        return m - np.bincount(np.concatenate([x for row, i, j in zip(self.order, lo.tolist(), hi.tolist()) for x in (row[:i], row[j:])]), minlength=n)
+
+    def search(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and inner products of the k best vectors other than the query's own row, best first."""
+        n = len(self.ids)
+        score, seen = np.full(n, -np.inf), np.zeros(n, dtype=bool)
+        if own in self.place:
+            seen[self.place[own]] = True
         if n <= k + 1:
-            return self._best(np.arange(n), (self.vectors * query).sum(axis=1), query_id, k)
+            return self._best(np.flatnonzero(~seen), query, k)
         at = query @ self.directions[:-1]
         both = self.longest + float(query @ query)
-        count = np.zeros(n, dtype=np.int64)
-        score = np.full(n, -np.inf)
-        lo = np.array([row.searchsorted(x) for row, x in zip(self.sorted, at)])
-        hi = lo.copy()
-
-        def widen(a: np.ndarray, b: np.ndarray) -> None:
-            new = [x for row, i, j, u, v in zip(self.order, a.tolist(), b.tolist(), lo.tolist(), hi.tolist()) for x in (row[i:u], row[v:j])]
-            np.add(count, np.bincount(np.concatenate(new), minlength=n), out=count)
-            lo[:], hi[:] = a, b
-
-        def verify(rows: np.ndarray) -> float:
-            """Verifies rows; the radius that holds the k best verified so far."""
-            score[rows] = (self.vectors[rows] * query).sum(axis=1)
-            done = score[self.ids != query_id]
-            kth = np.partition(done, len(done) - k)[len(done) - k]
+
+        def verify(new: np.ndarray) -> float:
+            """Verifies vectors; the radius that holds the k best verified so far."""
+            seen[new] = True
+            # where most are candidates, one product over the block is cheaper than picking them out
+            score[new] = (self.vectors @ query)[new] if 4 * len(new) > n else self.vectors[new] @ query
+            kth = np.partition(score, n - k)[n - k]
             # a query's extra component is 0, so the squared distance follows from the inner product alone
             return sqrt(max(both - 2 * float(kth), 0.0)) if np.isfinite(kth) else np.inf
 
         # the smallest windows give the first candidates, and these a radius that is wide enough
-        widen(np.maximum(lo - FIRST, 0), np.minimum(hi + FIRST, n))
-        near = verify(np.argpartition(-count, 4 * k)[: 4 * k] if n > 4 * k else np.arange(n))
+        middle = np.array([row.searchsorted(x) for row, x in zip(self.sorted, at.tolist())])
+        lo, hi = np.maximum(middle - FIRST, 0), np.minimum(middle + FIRST, n)
+        count = self._collisions(lo, hi)
+        first = np.argpartition(-count, 4 * k)[: 4 * k] if n > 4 * k else np.arange(n)
+        near = verify(first[~seen[first]])
         radius = near * SHRINK
         while True:
             half = radius * self.width / 2
-            a = np.array([row.searchsorted(x) for row, x in zip(self.sorted, at - half)])
-            b = np.array([row.searchsorted(x, side="right") for row, x in zip(self.sorted, at + half)])
-            widen(np.minimum(a, lo), np.maximum(b, hi))
-            near = verify(np.flatnonzero((count >= self.threshold) & np.isneginf(score)))
+            lo = np.minimum(lo, [row.searchsorted(x) for row, x in zip(self.sorted, (at - half).tolist())])
+            hi = np.maximum(hi, [row.searchsorted(x, side="right") for row, x in zip(self.sorted, (at + half).tolist())])
+            count = self._collisions(lo, hi)
+            near = verify(np.flatnonzero((count >= self.threshold) & ~seen))
             if near <= radius or (lo == 0).all() and (hi == n).all():
-                done = np.flatnonzero(~np.isneginf(score))
-                return self._best(done, score[done], query_id, k)
+                # rounding decides nothing: what is as good as the k-th up to rounding is compared by exact sums
+                kth = np.partition(score, n - k)[n - k]
+                return self._best(np.flatnonzero((score >= kth - 1e-9 * (1 + abs(kth))) & np.isfinite(score)), query, k)
             radius = min(near, radius * RATIO)
 
-    def _best(self, rows: np.ndarray, score: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        keep = self.ids[rows] != query_id
-        rows, score = rows[keep], score[keep]
-        order = np.lexsort((self.ids[rows], -score))[:k]
-        return self.ids[rows[order]], score[order]
+    def _best(self, at: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        score = (self.vectors[at] * query).sum(axis=1)
+        order = np.lexsort((self.rows[at], self.ids[at], -score))[:k]
+        return at[order], score[order]
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -113,49 +124,44 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
 
 
-def _searcher(k: int, longest: float):
+def _searcher(k: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, "tile"):
             asked = rows.column("asked").to_numpy()
-            ids, vectors = rows.column("vec_id").to_numpy(), _matrix(rows.column("embedding"))
+            row, ids, vectors = rows.column("row").to_numpy(), rows.column("vec_id").to_numpy(), _matrix(rows.column("embedding"))
             if not asked.any() or asked.all():
                 continue
-            block = Block(ids[~asked], vectors[~asked], longest)
-            out = [(q, *block.search(int(q), v, k)) for q, v in zip(ids[asked], vectors[asked])]
-            size = [len(i) for _, i, _ in out]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat([q for q, *_ in out], size).astype(np.int64)), pa.array(np.concatenate([i for _, i, _ in out]).astype(np.int64)), pa.array(np.concatenate([s for *_, s in out]))],
-                names=["query_id", "vec_id", "score"],
-            )
+            block = Block(row[~asked], ids[~asked], vectors[~asked], rows.column("longest")[0].as_py())
+            out = [(q, i, *block.search(int(q), v, k)) for q, i, v in zip(row[asked], ids[asked], vectors[asked])]
+            size = [len(at) for _, _, at, _ in out]
+            at = np.concatenate([a for _, _, a, _ in out])
+            columns = [np.repeat([q for q, *_ in out], size), np.repeat([i for _, i, *_ in out], size), block.rows[at], block.ids[at], np.concatenate([s for *_, s in out])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query", "query_id", "row", "vec_id", "score"])
 
     return search
 
 
 def neighbours(vectors: DataFrame, asked: Column, k: int = 20, block: int = BLOCK, queries: int = QUERIES) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row where ``asked`` holds its k nearest other rows."""
-    whole = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), asked.alias("is_asked")).where("vec_id is not null and embedding is not null")
+    whole = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.coalesce(asked, F.lit(False)).alias("is_asked"))
     limit = float(np.finfo(np.float64).max)
     finite = F.forall("embedding", lambda x: F.coalesce((x >= -limit) & (x <= limit), F.lit(False)))
-    whole = whole.where(finite & F.exists("embedding", lambda x: x != 0))
-    dim = whole.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    schema = "query_id long, vec_id long, score double"
-    if dim is None:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    whole = whole.where(F.size("embedding") == dim["d"]).groupBy("vec_id").agg(F.min("embedding").alias("embedding"), F.max("is_asked").alias("is_asked"))
-    whole = stored(whole, "vectors")
+    whole = whole.where("vec_id is not null and embedding is not null").where(finite & F.exists("embedding", lambda x: x != 0))
+    # written once, so a row keeps its number
+    whole = stored(whole.withColumns({"row": F.monotonically_increasing_id(), "d": F.size("embedding")}), "vectors")
     length = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
-    n, n_asked, longest = whole.agg(F.count("*"), F.count_if("is_asked"), F.max(length)).first()
-    blocks, groups = max(1, -(-n // block)), max(1, -(-n_asked // queries))
+    shares = whole.groupBy("d").agg(F.count("*").alias("n"), F.count_if("is_asked").alias("n_asked"), F.max(length).alias("longest"))
+    blocks, groups = F.ceil(F.col("n") / block), F.least(F.lit(GROUPS), F.ceil(F.col("n_asked") / queries))
+    shares = stored(shares.where("n_asked > 0").select("d", "longest", blocks.alias("blocks"), groups.alias("groups")), "shares")
+    whole = whole.join(shares, "d")
     # every block of vectors meets every block of queries: each row goes to as many tiles as the other side has blocks
-    base = whole.withColumn("own", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    base = base.select("vec_id", "embedding", F.lit(False).alias("asked"), "own", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("other"))
-    ask = whole.where("is_asked").withColumn("other", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)))
-    ask = ask.select("vec_id", "embedding", F.lit(True).alias("asked"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("own"), "other")
-    tile = F.concat_ws(":", F.col("own").cast("string"), F.col("other").cast("string")).alias("tile")
-    tiles = base.select("vec_id", "embedding", "asked", tile).union(ask.select("vec_id", "embedding", "asked", tile))
-    tiles = tiles.repartition(blocks * groups, "tile").sortWithinPartitions("tile")
-    found = mapped(tiles, _searcher(k, float(longest)), schema)
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    base = whole.select("row", "vec_id", "embedding", "longest", "d", F.lit(False).alias("asked"), F.pmod(F.xxhash64("row"), "blocks").alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("other"))
+    ask = whole.where("is_asked").select("row", "vec_id", "embedding", "longest", "d", F.lit(True).alias("asked"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("own"), F.pmod(F.xxhash64("row", F.lit(1)), "groups").alias("other"))
+    tiles = base.union(ask).withColumn("tile", F.concat_ws(":", F.col("d").cast("string"), F.col("own").cast("string"), F.col("other").cast("string"))).drop("d", "own", "other")
+    n_tiles = shares.agg(F.coalesce(F.sum(F.col("blocks") * F.col("groups")), F.lit(1))).first()[0]
+    tiles = tiles.repartition(int(min(n_tiles, MOST_PARTITIONS)), "tile").sortWithinPartitions("tile")
+    found = mapped(tiles, _searcher(k), "query long, query_id long, row long, vec_id long, score double")
+    order = W.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
