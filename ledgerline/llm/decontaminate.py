@@ -4,8 +4,8 @@ DataFrame functions only. A document window that shares no 5-word shingle with a
 similarity 0 to all of them. Of windows of one size the best ends with a shingle that some item has, or starts
 the document: moving a window off an unknown shingle at its edge loses nothing shared, and no shingle weighs more
 than an unknown one. So every such shingle gives, for each item size n met in the document, the windows of n words that
-end and that begin with it (moved into the document at its ends); those with too few shingles of items
-of that size to reach the similarity are left out, by an exact bound. Each window gets a 128-bit SimHash of its
+end and that begin with it (moved into the document at its ends); those whose shingles of items of that
+size weigh too little, against all their shingles, to reach the similarity are left out: an exact bound. Each window gets a 128-bit SimHash of its
 shingles, each weighing the root of its weight: so at similarity J the cosine is 2J / (1 + J) or more.
 Sixteen blocks of 8 bits index the fingerprints of the items of that size, each block with all values
 one bit away, so every fingerprint within ``RADIUS`` = 31 bits is found: 31 differing bits leave one
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.llm.shared import small_side, stored
+from ledgerline.llm.shared import small_side, stored, unused
 
 SIZE, SIMILARITY, BITS, BLOCK, RADIUS = 5, 0.8, 128, 8, 31
 #: Rows up to which the benchmark's shingles, or the windows, are broadcast; beyond, the joins shuffle.
@@ -61,18 +61,21 @@ def _fingerprint(group: list[str], rows: DataFrame) -> DataFrame:
     return summed.select(*group, "total", F.array(*[block(k) for k in range(BITS // BLOCK)]).alias("print"))
 
 
-def _starts(hits: DataFrame, k: int, similarity: float) -> DataFrame:
-    """Windows that begin or end with one of ``hits`` and of whose shingles at least the part ``similarity`` stands
-    in items of their size; one with fewer has a lower similarity, as no shingle weighs more than an unknown one."""
-    by_doc = hits.groupBy("doc_id", "tkey", "size").agg(F.collect_set(F.struct("p", "sizes")).alias("hits"))
+def _starts(hits: DataFrame, k: int, similarity: float, unseen: Column) -> DataFrame:
+    """Windows that begin or end with one of ``hits`` and can reach ``similarity``: the weights of their shingles that
+    stand in items of their size (all that can be shared) are at least that part of the weights of all their shingles."""
+    by_doc = hits.groupBy("doc_id", "tkey", "size").agg(F.collect_set(F.struct("p", "sizes", "weight")).alias("hits"))
     by_size = by_doc.withColumn("n", F.explode(F.array_distinct(F.flatten("hits.sizes"))))
     rows = by_size.select("doc_id", "tkey", "size", "n", F.inline("hits"))
     length = F.least("n", "size") - k + 1  # of a window, in shingles
-    rows = rows.withColumn("own", F.array_contains("sizes", F.col("n")).cast("int")).withColumn("place", F.col("p") / length)
+    own = F.when(F.array_contains("sizes", F.col("n")), F.col("weight")).otherwise(0.0)
+    # an unknown shingle weighs ``unseen``; what a window lacks of its length times that is the shortfall of its hits
+    bound = own + similarity * (unseen - F.col("weight"))
+    rows = rows.withColumns({"bound": bound, "place": F.col("p") / length})
     around = W.partitionBy("doc_id", "tkey", "size", "n").orderBy("place")  # a window's length is 1
-    rows = rows.withColumns({"ending": F.sum("own").over(around.rangeBetween(-1, 0)), "beginning": F.sum("own").over(around.rangeBetween(0, 1))})
+    rows = rows.withColumns({"ending": F.sum("bound").over(around.rangeBetween(-1, 0)), "beginning": F.sum("bound").over(around.rangeBetween(0, 1))})
     last = F.greatest(F.lit(0), F.col("size") - F.col("n"))
-    least = similarity * length - 1e-6
+    least = similarity * unseen * length * (1 - 1e-6)
     starts = F.array(F.when(F.col("ending") >= least, F.greatest(F.lit(0), F.col("p") - F.col("n") + k)), F.when(F.col("beginning") >= least, F.least("p", last)))
     return rows.select("doc_id", "tkey", F.explode(F.array_compact(starts)).alias("start"), "n", F.lit(k).alias("k"))
 
@@ -97,18 +100,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     places = stored(places, "places")
     n_items = items.count()
     rarity = places.groupBy("shingle").agg(F.log(1 + F.lit(n_items) / F.count_distinct("item")).alias("weight"))
-    weights = small_side(stored(rarity, "weights"), BROADCAST_ROWS)
+    rarity = stored(rarity, "weights")
+    weights = small_side(rarity, BROADCAST_ROWS)
     unseen = F.log(F.lit(1.0 + n_items))
 
     source = docs.select("doc_id", "text").withColumn("tkey", F.xxhash64("text"))
     worded = source.select("doc_id", "tkey", _words(F.col("text")).alias("words"))
     seen = places.groupBy("k", "shingle").agg(F.sort_array(F.collect_set("n")).alias("sizes"))
-    seen = stored(seen, "seen")
+    seen = stored(seen.join(rarity, "shingle"), "seen")
     found = None
     for k in sizes or [SIZE]:
         hits = worded.select("doc_id", "tkey", F.size("words").alias("size"), F.posexplode(_shingles(F.col("words"), k)).alias("p", "shingle"))
         hits = hits.join(small_side(seen.where(F.col("k") == k).drop("k"), BROADCAST_ROWS), "shingle")
-        hits = _starts(hits, k, similarity)
+        hits = _starts(hits, k, similarity, unseen)
         found = hits if found is None else found.union(hits)
     windows = stored(found.distinct(), "windows")
 
@@ -146,10 +150,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Rows of ``docs`` that match no benchmark item."""
-    leaks = matches(docs, benchmark, similarity).select(F.col("doc_id").alias("m_id"), F.col("tkey").alias("m_key")).distinct()
-    keyed = docs.withColumn("_tkey", F.xxhash64("text"))
+    key, m_id, m_key = unused(docs.columns, "text_key", "match_id", "match_key")
+    leaks = matches(docs, benchmark, similarity).select(F.col("doc_id").alias(m_id), F.col("tkey").alias(m_key)).distinct()
+    keyed = docs.withColumn(key, F.xxhash64("text"))
     leaks = small_side(stored(leaks, "leaks"), BROADCAST_ROWS)
-    return keyed.join(leaks, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("_tkey") == F.col("m_key")), "left_anti").drop("_tkey")
+    return keyed.join(leaks, F.col("doc_id").eqNullSafe(F.col(m_id)) & (F.col(key) == F.col(m_key)), "left_anti").drop(key)
 
 
 def op4_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import shutil
 import tempfile
@@ -47,6 +49,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """What this process holds without need goes back to the system."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries give memory back by themselves
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mapped(df: DataFrame, step: Callable, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow(step, schema)`` after this library's code was sent to the executors (once per application).
 
@@ -55,8 +66,7 @@ def mapped(df: DataFrame, step: Callable, schema: str | StructType) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from step(batches)
-        pa.default_memory_pool().release_unused()
-        pa.system_memory_pool().release_unused()
+        give_back()
 
     context = df.sparkSession.sparkContext
     if context.applicationId not in _sent:
@@ -67,6 +77,17 @@ def mapped(df: DataFrame, step: Callable, schema: str | StructType) -> DataFrame
     return df.mapInArrow(run, schema)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names``, each lengthened by underscores until no column has it (column names differ in more than case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """``df`` (stored, narrow rows) marked for broadcast if it has at most ``rows`` rows; else
     unmarked, so that the join shuffles."""
