@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.components import connected_components
-from ledgerline.llm.shared import mapped, mixed, runs, shingle_hashes, small_side, stored, text_steps, word_hashes, words_of
+from ledgerline.llm.shared import mapped, mixed, runs, shingle_hashes, small_side, stored, text_steps, unused, word_hashes, words_of
 
 SIZE, ROWS, BANDS, HASHES, BATCH = 5, 5, 25, 128, 32
 MISS = 1e-4
@@ -295,14 +295,15 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80, miss: float = MISS)
     rows = linked(docs, percent, miss)
     own = F.struct("doc_id", "tkey")
     best = stored(rows.where("root is not null").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(own).alias("k"), F.count("*").alias("n")), "kept")
-    keys = best.select(F.col("k.doc_id").alias("k_id"), F.col("k.tkey").alias("k_key"), "n")
-    sourced = docs.withColumn("_tkey", F.xxhash64(F.coalesce("text", F.lit(""))))
+    key, k_id, k_key, n = unused(docs.columns, "text_key", "kept_id", "kept_key", "copies")
+    keys = best.select(F.col("k.doc_id").alias(k_id), F.col("k.tkey").alias(k_key), F.col("n").alias(n))
+    sourced = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
     blank = ~F.coalesce("text", F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
-    same = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("_tkey") == F.col("k_key"))
+    same = F.col("doc_id").eqNullSafe(F.col(k_id)) & (F.col(key) == F.col(k_key))
     # keys as many as the documents kept: dealt by key at every size; the narrow side is hashed, texts are not sorted
-    kept = sourced.join(keys.hint("shuffle_hash"), same).select(*docs.columns, "n")
-    once = kept.where("n = 1").drop("n")
-    repeated = kept.where("n > 1").drop("n").dropDuplicates(["doc_id", "text"])
+    kept = sourced.join(keys.hint("shuffle_hash"), same).select(*docs.columns, n)
+    once = kept.where(F.col(n) == 1).drop(n)
+    repeated = kept.where(F.col(n) > 1).drop(n).dropDuplicates(["doc_id", "text"])
     return once.unionByName(repeated).unionByName(docs.where(blank))
 
 
