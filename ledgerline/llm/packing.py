@@ -96,12 +96,15 @@ def _merger(path: str, tokenizer: Tokenizer) -> Callable[[bytes], list[int]]:
 
 class Encoder:
     """Ids of texts. Pre-tokens never influence each other, so the ids of one met before are looked up by its
-    64-bit hash; a text with characters whose class is not stated above is encoded as a whole."""
+    64-bit hash; a text with characters whose class is not stated above, or with an added token's string, is encoded
+    as a whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # the tokenizer takes its added tokens' strings in a text for these tokens, so such texts are encoded as a whole
+        added = json.loads(self.tokenizer.to_str()).get("added_tokens", [])
+        self.added = [t["content"].encode() for t in added if t["content"]]
         self.merge = _merger(path, self.tokenizer)
         self.hashes, self.row = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         self.ids, self.begin = np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
@@ -140,6 +143,12 @@ class Encoder:
         odd = _KIND[data] == 0
         sign = np.flatnonzero(data[:-1] == 0xC3)
         odd[sign[(data[sign + 1] == 0x97) | (data[sign + 1] == 0xB7)]] = True
+        whole = data.tobytes() if self.added else b""
+        for token in self.added:
+            at = whole.find(token)
+            while at >= 0:
+                odd[at] = True
+                at = whole.find(token, at + 1)
         counts = np.concatenate([[0], np.cumsum(odd)])
         odd_text = counts[bounds[1:]] > counts[bounds[:-1]]
         for i in np.flatnonzero(odd_text).tolist():
