@@ -1,9 +1,8 @@
 """Web-event operators (CB1-CB11): funnels, per-visit summaries and campaign matching.
 
 All per-visit work is one ``groupBy(visit)`` with conditional aggregates instead of
-the source's seven re-scans of the event table joined back together; lookups are
-broadcast (their size is checked) and the campaign match runs on the aggregated
-visits, not on raw events.
+the source's seven re-scans of the event table joined back together; the campaign
+match runs on the aggregated visits, not on raw events.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import exact_pct
-from ledgerline.operators.joins import bounded_broadcast
 
 
 def visits_per_period(events: DataFrame, users: DataFrame, time_col: str, unit: str = "month") -> DataFrame:
@@ -82,8 +80,8 @@ def visit_summary(
     """
     e = (
         events.join(users.select("cookie_id", "user_id"), "cookie_id")
-        .join(bounded_broadcast(event_names), "event_type")
-        .join(bounded_broadcast(pages.select("page_id", "page_name")), "page_id", "left")
+        .join(event_names, "event_type")
+        .join(pages.select("page_id", "page_name"), "page_id", "left")
     )
     name = F.col("event_name")
     visits = e.groupBy("visit_id", "user_id").agg(
@@ -130,7 +128,7 @@ def match_campaigns(visits: DataFrame, campaigns: DataFrame, day_col: str, how:
 
 def category_funnel(events: DataFrame, event_names: DataFrame, pages: DataFrame, level: str) -> DataFrame:
     """Views and cart adds per product page or category (CB11)."""
-    e = events.join(bounded_broadcast(event_names), "event_type").join(bounded_broadcast(pages), "page_id")
+    e = events.join(event_names, "event_type").join(pages, "page_id")
     return (
         e.filter(F.col(level).isNotNull())
         .groupBy(level)
@@ -148,9 +146,9 @@ def product_funnel(events: DataFrame, event_names: DataFrame, pages: DataFrame,
     The per-visit purchase flag is an aggregate joined back on ``visit_id`` (a
     shuffle join that AQE can split for a hot visit), not a window over raw events.
     """
-    e = events.join(bounded_broadcast(event_names), "event_type")
+    e = events.join(event_names, "event_type")
     bought = e.groupBy("visit_id").agg(F.max((F.col("event_name") == "Purchase").cast("int")).alias("_bought"))
-    prod = e.join(bounded_broadcast(pages), "page_id").filter(F.col("product_category").isNotNull())
+    prod = e.join(pages, "page_id").filter(F.col("product_category").isNotNull())
     prod = prod.join(bought, "visit_id")
     g = prod.groupBy(level).agg(
         F.count_if(F.col("event_name") == "Page View").alias("page_views"),

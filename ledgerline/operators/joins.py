@@ -1,7 +1,8 @@
 """Join helpers.
 
-Broadcasts happen only behind a size check; past the bound the join is left to
-Catalyst/AQE (sort-merge or shuffled hash, with AQE's skew-join split).
+Joins carry no hint: tables are broadcast by Catalyst's and AQE's byte statistics, beyond
+them the join is sort-merge or shuffled hash with AQE's skew split.  Only lookup tables that
+are written out in code, whose size is fixed, are marked for broadcast where they are made.
 """
 
 from __future__ import annotations
@@ -11,19 +12,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if it is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def join_aggregate(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join a per-group aggregate (ranges, offsets, class sizes: one row per group or
     per group and bucket) back to its rows.  A NULL key is a group like any other.

@@ -42,6 +42,13 @@ def uniform_hash(cols: Sequence[str | Column], seed: int) -> Column:
     return F.pmod(h, F.lit(2**53)).cast("double") / float(2**53)
 
 
+def portable_hash(cols: Sequence[str], seed: int) -> Column:
+    """A number in [0, 2^52) from integer or text columns and a seed that any engine with md5 finds alike: the first 13
+    digits of the md5 of the values and the seed, joined by ``|``."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long")
+
+
 def group_row_index(df: DataFrame, group_cols: Sequence[str], u_col: str, buckets: int = BUCKETS,
                     name: str = "_idx", size: str | None = None) -> DataFrame:
     """0-based position of each row within its group in ``u_col`` order, exact; ``size`` names a

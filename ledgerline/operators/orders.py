@@ -3,8 +3,7 @@
 Joins are written so that Spark shuffles each large input once on ``order_id`` and
 reuses that partitioning for every ``order_id`` join; the per-order aggregates are
 computed before joining (partial aggregation map-side), so the star join only ever
-sees one row per order from each side.  Small dimensions (sellers) are broadcast
-behind a size check.
+sees one row per order from each side.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import bin_left_closed, bin_right_closed, flag, lead_days, same_trimmed
-from ledgerline.operators.joins import bounded_broadcast, join_aggregate
+from ledgerline.operators.joins import join_aggregate
 
 # Payment types flagged per order, and the labelled bins of the source.
 PAYMENT_FLAGS = ("boleto", "credit_card", "debit_card", "voucher")
@@ -152,7 +151,7 @@ def model_table(
         .join(it, "order_id", "left")
     )
     full = base.join(customers.select("customer_id", "customer_unique_id", "customer_state"), "customer_id", "left")
-    full = full.join(bounded_broadcast(sellers.select("seller_id", "seller_state")), "seller_id", "left")
+    full = full.join(sellers.select("seller_id", "seller_state"), "seller_id", "left")
     full = full.withColumn("state_is_equal", same_trimmed("customer_state", "seller_state"))
     return full.select(
         "review_id",

@@ -220,8 +220,8 @@ def hotelling_t2(df: DataFrame, group_col: str, groups: tuple, cols: Sequence[st
 def cca(df: DataFrame, xcols: Sequence[str], ycols: Sequence[str]) -> dict:
     """Canonical correlation analysis.
 
-    One Spark aggregate gives the joint covariance; on the driver:
-    ``Sxx^-1/2 Sxy Syy^-1/2 = U D V'``; canonical correlations are ``D``;
+    One Spark aggregate gives the joint covariance; on the driver, scaled to correlations so that
+    variables of very different size lose no digits: ``Sxx^-1/2 Sxy Syy^-1/2 = U D V'``; canonical correlations are ``D``;
     ``a = Sxx^-1/2 U``, ``b = Syy^-1/2 V`` so every variate has unit sample variance.
     Signs: the largest-magnitude x coefficient of each pair is positive.
     Structure coefficients (``corr(X, X a)``) come from the same moments.
@@ -229,7 +229,9 @@ def cca(df: DataFrame, xcols: Sequence[str], ycols: Sequence[str]) -> dict:
     cols = list(xcols) + list(ycols)
     (n, mean, cov), = cov_matrix(df, cols).values()
     p = len(xcols)
-    sxx, syy, sxy = cov[:p, :p], cov[p:, p:], cov[:p, p:]
+    sd = np.sqrt(np.diag(cov))
+    r = cov / np.outer(sd, sd)
+    sxx, syy, sxy = r[:p, :p], r[p:, p:], r[:p, p:]
 
     def inv_sqrt(m):
         w, v = np.linalg.eigh(m)
@@ -238,15 +240,14 @@ def cca(df: DataFrame, xcols: Sequence[str], ycols: Sequence[str]) -> dict:
     kx, ky = inv_sqrt(sxx), inv_sqrt(syy)
     u, d, vt = np.linalg.svd(kx @ sxy @ ky)
     k = min(len(xcols), len(ycols))
-    a = kx @ u[:, :k]
-    b = ky @ vt.T[:, :k]
+    a = kx @ u[:, :k] / sd[:p, None]
+    b = ky @ vt.T[:, :k] / sd[p:, None]
     for j in range(k):
         if a[np.argmax(np.abs(a[:, j])), j] < 0:
             a[:, j] *= -1
             b[:, j] *= -1
-    sdx, sdy = np.sqrt(np.diag(sxx)), np.sqrt(np.diag(syy))
-    corr_x = (sxx @ a) / sdx[:, None]
-    corr_y = (syy @ b) / sdy[:, None]
+    corr_x = sxx @ (a * sd[:p, None])
+    corr_y = syy @ (b * sd[p:, None])
     return {"n": n, "mean": mean, "cor": d[:k], "xcoef": a, "ycoef": b, "corr_x": corr_x, "corr_y": corr_y}
 
 

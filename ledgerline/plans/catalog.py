@@ -18,6 +18,7 @@ MODEL_FITTING = (
     "ml_gbdt_tuned_report",
     "ml_random_forest_report",
     "ml_feature_importance",
+    "ml_boosted_initial_report",
     "ml_gbdt_tuned_auc",
     "ml_boosted_importance",
     "ml_cv_metrics",

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from ledgerline.operators.ml import confusion, fixed_size_sample, uniform_hash
+from ledgerline.operators.ml import confusion, portable_hash
 from ledgerline.operators.profile import box_stats
 from ledgerline.operators.stats import (
     canonical_scores,
@@ -117,12 +118,19 @@ def in4_group_means(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _lda(spark, d, test_rows: int = 1000, seed: int = 2):
+    """Predictions for exactly ``test_rows`` rows, those of the smallest hashes of their keys; rows with equal keys are told
+    apart by a counter in the order of their other columns."""
+    keys = ["claim_order", "claim_line", "claim_part"]
     c = claims_recoded(spark, d).withColumn("label", F.col("Claim_Amount_Indicator"))
-    # the test rows are those with the smallest hashes of all columns; repeated rows stay together
-    u = uniform_hash(c.columns, seed)
-    cut = fixed_size_sample(c, c.columns, test_rows, seed).agg(F.max(u)).first()[0]
-    model = lda_fit(c.filter(u > cut), "label", LDA_VARS)
-    return lda_predict(c.filter(u <= cut), LDA_VARS, model)
+    c = c.withColumn("_copy", F.row_number().over(W.partitionBy(*keys).orderBy("label", "Claim_Amount", *LDA_VARS)))
+    c = c.withColumn("_u", portable_hash([*keys, "_copy"], seed))
+    order = ["_u", *keys, "_copy"]
+    last = c.select(F.struct(*order).alias("_place")).orderBy("_place").limit(test_rows).agg(F.max("_place").alias("p")).first()["p"]
+    if last is None:
+        raise ValueError("no rows to draw from")
+    drawn = F.struct(*order) <= F.struct(*[F.lit(last[k]).cast(c.schema[k].dataType).alias(k) for k in order])
+    model = lda_fit(c.filter(~drawn), "label", LDA_VARS)
+    return lda_predict(c.filter(drawn), LDA_VARS, model)
 
 
 def in5_lda_confusion(spark: SparkSession, d: str) -> DataFrame:

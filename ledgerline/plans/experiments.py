@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.ml import portable_hash
 from ledgerline.operators.stats import (
     chi_square_independence,
     rate_difference,
@@ -26,8 +27,7 @@ ARMS = ("control", "treatment")
 def assign_arms(df: DataFrame, unit_col: str, seed: int = 1, treatment_share: float = 0.5) -> DataFrame:
     """Deterministic hash assignment of experiment units to arms (T4): the first 52 bits of the md5 of ``unit|seed`` as
     a number in [0, 1), so that any engine gives a unit the same arm."""
-    digits = F.substring(F.md5(F.concat_ws("|", F.col(unit_col).cast("string"), F.lit(str(seed))).cast("binary")), 1, 13)
-    u = F.conv(digits, 16, 10).cast("double") / float(2**52)
+    u = portable_hash([unit_col], seed).cast("double") / float(2**52)
     return df.withColumn("arm", F.when(u < treatment_share, F.lit(ARMS[1])).otherwise(F.lit(ARMS[0])))
 
 

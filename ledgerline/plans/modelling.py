@@ -13,8 +13,8 @@ from dataclasses import replace
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import LDA, KMeans
-from pyspark.ml.feature import CountVectorizer, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover, VectorAssembler
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +47,7 @@ from ledgerline.operators.ml import (
 from ledgerline.operators.orders import LEAD_COLUMNS
 from ledgerline.operators.smote import smote
 from ledgerline.operators.stepwise import forward
+from ledgerline.operators.topics import class_terms, fit_topics, terms_of, topic_terms
 from ledgerline.plans.orders import _model
 from ledgerline.session import cut_lineage
 from ledgerline.sources.store import shared_table
@@ -147,7 +148,8 @@ def ml_smote_class_counts(spark: SparkSession, d: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- boosted trees, forest
 
-# The source's tuned boosted model, and its forest.
+# The source's first and tuned boosted models, and its forest.
+INITIAL = Boosting(rounds=1000, max_depth=5, eta=0.01, subsample=0.8, seed=SEED)
 TUNED = Boosting(rounds=180, max_depth=5, eta=0.13022300234864176, seed=SEED)
 FOREST = {"num_trees": 500, "max_depth": 15, "min_instances": 2, "subset": "log2"}
 
@@ -195,6 +197,12 @@ def ml_gbdt_tuned_report(spark: SparkSession, d: str) -> DataFrame:
     return _both(_boosted(TUNED, train), train, test)
 
 
+def ml_boosted_initial_report(spark: SparkSession, d: str) -> DataFrame:
+    """The source's first boosted model: 1000 rounds for three classes, learning rate 0.01, depth 5, subsample 0.8."""
+    train, test = _parts(spark, d)
+    return _both(_boosted(INITIAL, train), train, test)
+
+
 def ml_gbdt_tuned_auc(spark: SparkSession, d: str) -> DataFrame:
     train, test = _parts(spark, d)
     return _auc(_scored(_boosted(TUNED, train), test))
@@ -387,32 +395,19 @@ def t9_logistic_report(spark: SparkSession, d: str) -> DataFrame:
     return _report_both(model, train, test)
 
 
-def _topics(spark, d, k: int = 5, min_token: int = 3):
-    """Topics over all terms of all documents; tokens shorter than ``min_token`` letters are no terms.
-    The driver holds the vocabulary, as ``CountVectorizer`` does."""
-    docs = load_table(spark, d, "documents").select("doc_id", "text")
-    tok = RegexTokenizer(inputCol="text", outputCol="tokens", pattern=r"[^\p{L}]+", minTokenLength=min_token)
-    sw = StopWordsRemover(inputCol="tokens", outputCol="words")
-    words = sw.transform(tok.transform(docs))
-    terms = words.select(F.explode("words")).distinct().count()
-    cv = CountVectorizer(inputCol="words", outputCol="tf", vocabSize=max(terms, 1), minDF=1.0).fit(words)
-    tf = cv.transform(words)
-    lda = LDA(k=k, maxIter=10, seed=SEED, featuresCol="tf", optimizer="online", subsamplingRate=1.0).fit(tf)
-    return cv, lda, lda.transform(tf)
+def _topics(spark, d, k: int = 5):
+    """Topics over all terms of all documents, in a hashed term space."""
+    words = terms_of(load_table(spark, d, "documents").select("doc_id", "text"))
+    return words, *fit_topics(words, k, SEED)
 
 
 def t10_topic_terms(spark: SparkSession, d: str) -> DataFrame:
-    cv, lda, _ = _topics(spark, d)
-    vocab = cv.vocabulary
-    rows = []
-    for r in lda.describeTopics(10).collect():  # k topics x 10 terms
-        for rank, (i, w) in enumerate(zip(r["termIndices"], r["termWeights"])):
-            rows.append((int(r["topic"]), rank + 1, vocab[i], float(w)))
-    return spark.createDataFrame(rows, "topic int, rank int, term string, weight double")
+    words, lda, _ = _topics(spark, d)
+    return topic_terms(lda, words)
 
 
 def t10_doc_topics(spark: SparkSession, d: str) -> DataFrame:
-    _, _, docs = _topics(spark, d)
+    docs = _topics(spark, d)[2]
     arr = vector_to_array("topicDistribution")
     return docs.select("doc_id", F.array_position(arr, F.array_max(arr)).cast("int").alias("dominant_topic"),
                        F.array_max(arr).alias("topic_weight"))
@@ -428,21 +423,12 @@ def t11_cluster_terms(spark: SparkSession, d: str, k: int = 6, min_token: int =
     counted = HashingTF(inputCol="tokens", outputCol="counts", numFeatures=buckets).transform(docs)
     data = Normalizer(inputCol="counts", outputCol="features").transform(counted)
     clusters = KMeans(k=k, seed=SEED, maxIter=20).fit(data).transform(data)
-    words = clusters.select(F.col("prediction").alias("cluster"), F.explode("tokens").alias("term"))
-    tf = words.groupBy("cluster", "term").agg(F.count(F.lit(1)).alias("tf"))
-    per_c = tf.groupBy("cluster").agg(F.sum("tf").alias("wc"))
-    per_t = tf.groupBy("term").agg(F.sum("tf").alias("ft"))
-    avg_words = per_c.agg(F.avg("wc").alias("aw")).withColumn("_one", F.lit(1))
-    j = tf.join(per_c, "cluster").join(per_t, "term").withColumn("_one", F.lit(1)).join(F.broadcast(avg_words), "_one")
-    j = j.withColumn("ctfidf", F.col("tf") / F.col("wc") * F.log(1 + F.col("aw") / F.col("ft")))
-    top = W.partitionBy("cluster").orderBy(F.col("ctfidf").desc(), "term")
-    return j.withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= 10).select(
-        "cluster", "rank", "term", "ctfidf")
+    return class_terms(clusters.select(F.col("prediction").alias("cluster"), "tokens"), "cluster")
 
 
 def t12_multimodal_compare(spark: SparkSession, d: str) -> DataFrame:
     """Logistic regression on document numerics alone vs numerics + topic weights."""
-    _, _, docs = _topics(spark, d)
+    docs = _topics(spark, d)[2]
     topics = docs.select("doc_id", "topicDistribution")
     s = _doc_split(spark, d).join(topics, "doc_id")
     rows = []
@@ -463,6 +449,7 @@ QUERIES = {
     "ml_ovr_gbt_report": ml_ovr_gbt_report,
     "ml_ovr_gbt_auc": ml_ovr_gbt_auc,
     "ml_gbdt_tuned_report": ml_gbdt_tuned_report,
+    "ml_boosted_initial_report": ml_boosted_initial_report,
     "ml_gbdt_tuned_auc": ml_gbdt_tuned_auc,
     "ml_boosted_importance": ml_boosted_importance,
     "ml_cv_metrics": ml_cv_metrics,

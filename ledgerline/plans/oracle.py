@@ -482,4 +482,7 @@ def all_sql() -> dict[str, str]:
     from ledgerline.plans.oracle_files import FILES_SQL
 
     out.update(FILES_SQL)
+    from ledgerline.plans.oracle_models import MODELS_SQL
+
+    out.update(MODELS_SQL)
     return out

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerline.functions.columns import add_calendar, derive_segment, parse_dmy_2digit
-from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.sources.tables import load_table
 
 # Fixed values used by the stand-in mappings (our choice, documented in FIXTURES.md).
@@ -66,10 +65,10 @@ def weekly_sales(spark: SparkSession, sf_dir: str, years: tuple[int, ...] | None
     segment = F.when(letter.isNull(), F.lit("null")).otherwise(
         F.concat(letter, (F.col("c_custkey") % 4 + 1).cast("string"))
     )
-    geo = n.join(bounded_broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
+    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
     rows = (
         o.join(c, o.o_custkey == c.c_custkey)
-        .join(bounded_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.date_trunc("week", "o_orderdate").cast("date").alias("_week"),
             F.col("r_name").alias("region"),
@@ -189,16 +188,16 @@ def web_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_names(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EVENT_NAMES, "event_type int, event_name string")
+    return F.broadcast(spark.createDataFrame(EVENT_NAMES, "event_type int, event_name string"))
 
 
 def page_hierarchy(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAGES, "page_id int, page_name string, product_category string, product_id int")
+    return F.broadcast(spark.createDataFrame(PAGES, "page_id int, page_name string, product_category string, product_id int"))
 
 
 def campaigns(spark: SparkSession) -> DataFrame:
     df = spark.createDataFrame(CAMPAIGNS, "campaign_name string, start_date string, end_date string")
-    return df.select("campaign_name", F.to_date("start_date").alias("start_date"), F.to_date("end_date").alias("end_date"))
+    return F.broadcast(df.select("campaign_name", F.to_date("start_date").alias("start_date"), F.to_date("end_date").alias("end_date")))
 
 
 # --------------------------------------------------------------------------- trips
@@ -322,7 +321,7 @@ def ec_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ec_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = load_table(spark, sf_dir, "supplier")
     n = load_table(spark, sf_dir, "nation")
-    return s.join(bounded_broadcast(n), s.s_nationkey == n.n_nationkey).select(
+    return s.join(n, s.s_nationkey == n.n_nationkey).select(
         F.col("s_suppkey").alias("seller_id"),
         F.col("s_nationkey").alias("seller_zip_code_prefix"),
         F.col("s_name").alias("seller_city"),
@@ -334,7 +333,7 @@ def ec_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers; two customer ids share one ``customer_unique_id`` (repeat buyers)."""
     c = load_table(spark, sf_dir, "customer")
     n = load_table(spark, sf_dir, "nation")
-    return c.join(bounded_broadcast(n), c.c_nationkey == n.n_nationkey).select(
+    return c.join(n, c.c_nationkey == n.n_nationkey).select(
         F.col("c_custkey").alias("customer_id"),
         F.concat(F.lit("u"), F.expr("c_custkey div 2").cast("string")).alias("customer_unique_id"),
         F.col("c_nationkey").alias("customer_zip_code_prefix"),

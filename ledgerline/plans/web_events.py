@@ -14,13 +14,12 @@ from ledgerline.operators.events import (
     visit_summary,
     visits_per_period,
 )
-from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.operators.share import with_total
 from ledgerline.plans.standins import campaigns, event_names, page_hierarchy, web_events, web_users
 
 
 def _named(spark, d):
-    return web_events(spark, d).join(bounded_broadcast(event_names(spark)), "event_type")
+    return web_events(spark, d).join(event_names(spark), "event_type")
 
 
 def cb1_user_count(spark: SparkSession, d: str) -> DataFrame:
@@ -61,10 +60,10 @@ def cb5_event_share(spark: SparkSession, d: str) -> DataFrame:
 
 def cb6_purchase_visit_pct(spark: SparkSession, d: str) -> DataFrame:
     # left join: the denominator counts the visits of every event, named or not
-    e = web_events(spark, d).join(bounded_broadcast(event_names(spark)), "event_type", "left")
-    agg = e.agg(
-        F.count_distinct(F.when(F.col("event_name") == "Purchase", F.col("visit_id"))).alias("_p"),
-        F.count_distinct("visit_id").alias("_v"),
+    e = web_events(spark, d).join(event_names(spark), "event_type", "left")
+    per_visit = e.groupBy("visit_id").agg(F.max(F.col("event_name") == "Purchase").alias("_bought"))
+    agg = per_visit.agg(
+        F.count_if(F.col("_bought") & F.col("visit_id").isNotNull()).alias("_p"), F.count("visit_id").alias("_v")
     )
     return agg.select(F.expr("(_p * 100) div _v").alias("purchase_visit_pct"))
 
@@ -77,7 +76,7 @@ def cb7_purchase_pct_by_flags(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cb8_checkout_no_purchase_pct(spark: SparkSession, d: str) -> DataFrame:
-    e = _named(spark, d).join(bounded_broadcast(page_hierarchy(spark)), "page_id")
+    e = _named(spark, d).join(page_hierarchy(spark), "page_id")
     per_visit = e.groupBy("visit_id").agg(
         F.count_if((F.col("event_name") == "Page View") & (F.col("page_name") == "Checkout")).alias("checkout_count"),
         F.count_if((F.col("event_name") == "Purchase") & (F.col("page_name") == "Confirmation")).alias(
@@ -89,7 +88,7 @@ def cb8_checkout_no_purchase_pct(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cb9_top3_pages(spark: SparkSession, d: str) -> DataFrame:
-    e = web_events(spark, d).filter(F.col("event_type") == 1).join(bounded_broadcast(page_hierarchy(spark)), "page_id")
+    e = web_events(spark, d).filter(F.col("event_type") == 1).join(page_hierarchy(spark), "page_id")
     g = e.groupBy("page_name").agg(F.count(F.lit(1)).alias("n_views"))
     return g.orderBy(F.col("n_views").desc(), F.col("page_name")).limit(3)
 
@@ -113,7 +112,7 @@ def cb11_campaign_effect(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cb_visit_funnel(spark: SparkSession, d: str) -> DataFrame:
-    e = _named(spark, d).join(bounded_broadcast(page_hierarchy(spark)), "page_id", "left")
+    e = _named(spark, d).join(page_hierarchy(spark), "page_id", "left")
     name, page = F.col("event_name"), F.col("page_name")
     steps = {
         "product_view": (name == "Page View") & F.col("product_category").isNotNull(),

@@ -1,10 +1,11 @@
-"""Written tables that queries share (S5, EC13): versions in the warehouse behind one name.
+"""Written tables that queries share (S5, EC13): versions in the shared folder behind one name.
 
-A version is a managed, partitioned Parquet table of its own.  The name is a view of the current
+A version is a catalogued, partitioned Parquet table of its own in the folder of ``spark.checkpoint.dir``.  The name is a view of the current
 version: writing a new one and replacing the view are separate steps, and the second is a single
 entry in the catalog.  A failed write therefore leaves the old table in place, readers see the old
 version or the new one, never a part, and scans keep partition and column pruning.
-The version before the current one stays for queries under way; older ones are dropped.
+The version before the current one stays in the catalog for queries under way; older ones are dropped from it. Files
+are left to whoever clears the shared folder.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.session import ensure_checkpoint_dir
+
 
 def versions(spark: SparkSession, name: str) -> list[str]:
     """The version tables of ``name``, oldest first."""
@@ -27,7 +30,8 @@ def replace_table(spark: SparkSession, name: str, df: DataFrame, partition_by: S
     old = versions(spark, name)
     number = int(old[-1].split("__v")[1].split("_")[0]) + 1 if old else 1
     new = f"{name}__v{number}_{uuid.uuid4().hex[:8]}"
-    writer = df.write.format("parquet")
+    folder = ensure_checkpoint_dir(spark).rstrip("/")
+    writer = df.write.format("parquet").option("path", f"{folder}/tables/{new}")
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(new)
     columns = ", ".join(f"`{c}`" for c in df.columns)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {new}")
