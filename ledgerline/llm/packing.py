@@ -299,6 +299,26 @@ def patterns(demand: dict[int, int], room: int, gap: float = GAP) -> list[tuple[
     return result + [(1, {s: b.count(s) for s in set(b)}) for b in bins]
 
 
+def _planner(room: int):
+    """The histogram (size, n) to the plan: rows (size, ranks from and below, copies in a sequence, first sequence)."""
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        demand: dict[int, int] = {}
+        for batch in batches:
+            demand.update(zip(batch.column("size").to_pylist(), batch.column("n").to_pylist()))
+        table, base, taken = [], 0, dict.fromkeys(demand, 0)
+        for copies, items in patterns(demand, room):
+            for size, n in items.items():
+                table.append((size, taken[size], taken[size] + copies * n, n, base))
+                taken[size] += copies * n
+            base += copies
+        columns = list(zip(*table)) or [()] * 5
+        kinds = [pa.int32(), *[pa.int64()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["psize", "lo", "hi", "per", "base"])
+
+    return plan
+
+
 def pack(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID, tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and, on demand,
     ``ids`` (little-endian 32-bit integers, as binary).
@@ -310,15 +330,8 @@ def pack(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID, tokenizer:
     step = max(1, length // CLASSES)
     cut = mapped(docs.select("doc_id", "text"), _cutter(tokenizer or public_tokenizers.path(TOKENIZER), length, end_id, with_ids), schema)
     pieces = stored(cut.withColumn("size", F.ceil(F.col("length") / step).cast("int")), "pieces")
-    demand = {r["size"]: r["n"] for r in pieces.groupBy("size").agg(F.count("*").alias("n")).collect()}  # at most CLASSES rows or so
-    table, base, taken = [], 0, dict.fromkeys(demand, 0)
-    for copies, items in patterns(demand, -(-length // step)):
-        for size, n in items.items():
-            table.append((size, taken[size], taken[size] + copies * n, n, base))
-            taken[size] += copies * n
-        base += copies
-    spark = docs.sparkSession
-    plan = spark.createDataFrame(table, "psize int, lo long, hi long, per long, base long")
+    demand = pieces.groupBy("size").agg(F.count("*").alias("n"))  # at most CLASSES rows or so: one task plans them
+    plan = stored(mapped(demand.coalesce(1), _planner(-(-length // step)), "psize int, lo long, hi long, per long, base long"), "plan")
     placed = ranked(pieces.withColumn("key", F.struct("doc_id", "start", "ids_crc32", "doc_tokens")), "size", "key", buckets=256)
     # the plan's rows are bounded by the number of classes
     placed = placed.join(F.broadcast(plan), (F.col("size") == F.col("psize")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
