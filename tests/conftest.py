@@ -1,6 +1,8 @@
 import os
 import sys
 
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")  # the driver's linear algebra is small; a thread pool only waits
+
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
