@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import replace
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
@@ -83,7 +84,9 @@ def ml_rows(spark: SparkSession, d: str) -> DataFrame:
         "review_id",
         F.col("review_category").cast("double").alias("label"),
         *[F.col(c).cast("double").alias(c) for c in FEATURES],
-    ).na.drop(how="any")
+    )
+    known = [F.col(c).isNotNull() & ~F.isnan(c) for c in ("label", *FEATURES)]
+    m = m.filter(reduce(lambda a, b: a & b, known, F.col("review_id").isNotNull()))
     h = F.xxhash64(*FEATURES)
     dup = F.row_number().over(W.partitionBy("review_id", h).orderBy(F.lit(1)))
     return m.withColumn("row_id", F.concat_ws("|", "review_id", h.cast("string"), dup.cast("string")))
