@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ledgerline.functions.columns import bin_left_closed, bin_right_closed, flag, lead_days, same_trimmed
 from ledgerline.operators.joins import join_aggregate
@@ -79,17 +80,35 @@ def clean_orders(orders: DataFrame) -> DataFrame:
     return o.filter(cond)
 
 
-def item_aggregate(items: DataFrame, dedupe_sellers: bool = False) -> DataFrame:
+def item_aggregate(items: DataFrame, dedupe_sellers: bool = False, orders_known: bool = False) -> DataFrame:
     """Items per (order, product): count and summed price, joined back to the items for
     the seller (J10).  As written, a product bought n times in one order comes back n
-    times; ``dedupe_sellers`` keeps one row per (order, product, seller)."""
-    agg = items.groupBy("order_id", "product_id").agg(
-        F.count("order_item_id").alias("number_of_items"), F.sum("price").alias("price")
-    )
-    right = items.select("order_id", "product_id", "seller_id")
+    times; ``dedupe_sellers`` keeps one row per (order, product, seller).  An item without
+    order or product has no seller to join, so such a group comes back once.
+
+    Items are dealt once, by order, and aggregate, join and what joins by order afterwards
+    need no other exchange or sort; only items without an order are summed up apart
+    (``orders_known``: there are none)."""
+    keys = ["order_id", "product_id"]
+    sums = [F.count("order_item_id").alias("number_of_items"), F.sum("price").alias("price")]
     if dedupe_sellers:
-        right = right.dropDuplicates()
-    return agg.join(right, ["order_id", "product_id"], "left")
+        right = items.select(*keys, "seller_id").dropDuplicates()
+        return items.groupBy(*keys).agg(*sums).join(right, keys, "left")
+    place = W.partitionBy(*keys).orderBy("order_item_id")
+    group = place.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)  # the same sort, hence one window
+    ordered = items.filter(F.col("order_id").isNotNull()).select(*keys, "order_item_id", "price", "seller_id").repartition("order_id")
+    ordered = ordered.select(
+        *keys,
+        F.count("order_item_id").over(group).alias("number_of_items"),
+        F.sum("price").over(group).alias("price"),
+        F.when(F.col("product_id").isNotNull(), F.col("seller_id")).alias("seller_id"),
+        F.row_number().over(place).alias("_r"),
+    )
+    ordered = ordered.filter(F.col("product_id").isNotNull() | (F.col("_r") == 1)).drop("_r")
+    if orders_known:
+        return ordered
+    rest = items.filter(F.col("order_id").isNull()).groupBy(*keys).agg(*sums)
+    return ordered.unionByName(rest.withColumn("seller_id", F.lit(None).cast(items.schema["seller_id"].dataType)))
 
 
 def clean_products(products: DataFrame, translation: DataFrame, fill_rules: dict[str, str] | None = None) -> DataFrame:
@@ -136,19 +155,21 @@ def model_table(
 ) -> DataFrame:
     """The modelling table of the source's six-table star join (EC13).
 
-    reviews INNER clean orders, LEFT payment features, LEFT (items per product
-    LEFT products), LEFT customers, LEFT sellers; then ``state_is_equal``.  Joining
-    everything keyed by ``order_id`` first lets Spark shuffle each input once.
+    reviews INNER clean orders, LEFT payment features, LEFT items per product, LEFT products,
+    LEFT customers, LEFT sellers; then ``state_is_equal``.  Joining everything keyed by
+    ``order_id`` first lets Spark shuffle each input once, and only the items of clean
+    orders are shuffled again, to their products, customers and sellers.
     """
     o = clean_orders(orders)
     pay = payment_features(payments)
     prod = clean_products(products, translation)
-    it = item_aggregate(items).join(prod, "product_id", "left")
+    it = item_aggregate(items.filter(F.col("order_id").isNotNull()), orders_known=True)  # others join no order
     base = (
         reviews.select("review_id", "order_id", "review_score")
         .join(o.select("order_id", "customer_id", *LEAD_COLUMNS), "order_id", "inner")
         .join(pay, "order_id", "left")
         .join(it, "order_id", "left")
+        .join(prod, "product_id", "left")
     )
     full = base.join(customers.select("customer_id", "customer_unique_id", "customer_state"), "customer_id", "left")
     full = full.join(sellers.select("seller_id", "seller_state"), "seller_id", "left")
