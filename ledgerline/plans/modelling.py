@@ -377,7 +377,7 @@ def t7_stepwise_logit(spark: SparkSession, d: str) -> DataFrame:
 
 def t8_odds_ratios(spark: SparkSession, d: str) -> DataFrame:
     """Odds ratios with 95 % Wald intervals from a binomial GLM on all features."""
-    data = VectorAssembler(inputCols=DOC_FEATURES, outputCol="features").transform(doc_table(spark, d))
+    data = VectorAssembler(inputCols=DOC_FEATURES, outputCol="features").transform(cut_lineage(doc_table(spark, d)))  # read in every iteration
     m = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=50).fit(data)
     se = m.summary.coefficientStandardErrors  # features first, intercept last
     coefs = list(m.coefficients) + [m.intercept]
