@@ -433,7 +433,7 @@ def t12_multimodal_compare(spark: SparkSession, d: str) -> DataFrame:
     """Logistic regression on document numerics alone vs numerics + topic weights."""
     docs = _topics(spark, d)[2]
     topics = docs.select("doc_id", "topicDistribution")
-    s = _doc_split(spark, d).join(topics, "doc_id")
+    s = cut_lineage(_doc_split(spark, d).join(topics, "doc_id"))  # both models read it
     rows = []
     for name, cols in (("numerics", DOC_FEATURES), ("numerics+topics", DOC_FEATURES + ["topicDistribution"])):
         data = VectorAssembler(inputCols=cols, outputCol="features").transform(s)

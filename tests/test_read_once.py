@@ -29,3 +29,15 @@ def test_odds_ratios(spark, monkeypatch, counted):
     monkeypatch.setattr(M, "doc_table", lambda s, d: frame.withColumn("n_chars", of("double")("n_chars")))
     assert M.t8_odds_ratios(spark, "x").count() == len(M.DOC_FEATURES) + 1
     assert seen.value == 200
+
+
+def test_comparison_reads_its_topics_once(spark, monkeypatch, counted):
+    seen, of = counted
+    rows = [(i, float(i % 3 == 0), *[float((i * (j + 3) + i // 7) % (11 + j)) for j in range(len(M.DOC_FEATURES))]) for i in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id long, label double, " + ", ".join(f"{c} double" for c in M.DOC_FEATURES))
+    topics = spark.createDataFrame([(i, [0.25, 0.75] if i % 2 else [0.5, 0.5]) for i in range(100)], "doc_id long, t array<double>")
+    topics = topics.select("doc_id", M.array_to_vector(of("array<double>")("t")).alias("topicDistribution"))
+    monkeypatch.setattr(M, "doc_table", lambda s, d: frame)
+    monkeypatch.setattr(M, "_topics", lambda s, d: (None, None, topics))
+    assert M.t12_multimodal_compare(spark, "x").count() == 2
+    assert seen.value == 100
