@@ -29,7 +29,7 @@ from pyspark.util import inheritable_thread_target
 
 from ledgerline.operators.joins import join_aggregate
 from ledgerline.operators.order_stats import cumulated
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import cut_lineage, ensure_checkpoint_dir
 
 BUCKETS = 1 << 16  # ~15M rows per bucket even for a 10^12-row group
 
@@ -254,6 +254,36 @@ def random_forest(num_trees: int = 100, max_depth: int = 15, min_instances: int
                                   featureSubsetStrategy=subset, bootstrap=bootstrap, seed=seed)
 
 
+#: Nodes of a forest that are fitted at a time; a node takes some hundred bytes of the driver's memory.
+FOREST_NODES = 1 << 19
+
+
+def forest_scores(train: DataFrame, rows: DataFrame, num_trees: int, max_depth: int, min_instances: int = 2, subset: str = "log2",
+                  seed: int = 42, nodes: int | None = None) -> DataFrame:
+    """``rows`` with the ``prediction`` and ``scores`` (class probabilities) of a forest fitted on ``train`` (M8).
+
+    The driver holds all trees of a fit, so a forest that may have more than ``nodes`` nodes is fitted some trees at
+    a time, each part with a seed of its own; the parts' votes are added up and checkpointed, and no part is kept.
+    """
+    nodes = nodes or FOREST_NODES
+    per_tree = max(1.0, min(2.0 ** (max_depth + 1) - 1, 2 * train.count() / min_instances))
+    summed, done, part = rows, 0, 0
+    while done < num_trees:
+        trees = min(num_trees - done, max(1, int(nodes / per_tree)))
+        model = random_forest(trees, max_depth, min_instances, subset, seed=seed + 7919 * part).fit(train)
+        voted = model.transform(summed)
+        if trees == num_trees:
+            return voted.select(*rows.columns, vector_to_array("probability").alias("scores"), "prediction")
+        votes = vector_to_array("rawPrediction")
+        votes = F.zip_with(votes, "_votes", lambda a, b: a + b) if part else votes
+        summed = cut_lineage(voted.select(*rows.columns, votes.alias("_votes")))
+        per_tree = max(1.0, 1.25 * model.totalNumNodes / trees)  # the next part's size by what this one has
+        done, part = done + trees, part + 1
+    scores = F.transform("_votes", lambda v: v / F.lit(float(num_trees)))
+    best = F.array_position("_votes", F.array_max("_votes")) - 1
+    return summed.select(*rows.columns, scores.alias("scores"), best.cast("double").alias("prediction"))
+
+
 def sample_params(space: dict, n_iter: int, seed: int) -> list[dict]:
     """Draw ``n_iter`` parameter sets from a space of lists, ``('int', lo, hi)`` and
     ``('uniform', lo, width)`` entries, seeded (M9's sampler, on the driver)."""
