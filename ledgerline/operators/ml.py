@@ -262,23 +262,33 @@ def forest_scores(train: DataFrame, rows: DataFrame, num_trees: int, max_depth:
                   seed: int = 42, nodes: int | None = None) -> DataFrame:
     """``rows`` with the ``prediction`` and ``scores`` (class probabilities) of a forest fitted on ``train`` (M8).
 
-    The driver holds all trees of a fit, so a forest that may have more than ``nodes`` nodes is fitted some trees at
-    a time, each part with a seed of its own; the parts' votes are added up and checkpointed, and no part is kept.
+    The driver holds all trees of a fit, so a forest that has more than about ``nodes`` nodes is fitted some trees at
+    a time, each part with a seed of its own; the parts' votes are added up and checkpointed, and no part is kept. If
+    the rows alone don't tell that it is smaller, the first trees do.
     """
     nodes = nodes or FOREST_NODES
+
+    def fitted(trees: int, part: int = 0):
+        return random_forest(trees, max_depth, min_instances, subset, seed=seed + 7919 * part).fit(train)
+
     per_tree = max(1.0, min(2.0 ** (max_depth + 1) - 1, 2 * train.count() / min_instances))
+    trees = min(num_trees, max(1, int(nodes / per_tree)))
+    model = fitted(trees)
+    if trees < num_trees and 1.25 * model.totalNumNodes / trees * num_trees <= nodes:
+        trees, model = num_trees, fitted(num_trees)
+    if trees == num_trees:
+        return model.transform(rows).select(*rows.columns, vector_to_array("probability").alias("scores"), "prediction")
     summed, done, part = rows, 0, 0
-    while done < num_trees:
-        trees = min(num_trees - done, max(1, int(nodes / per_tree)))
-        model = random_forest(trees, max_depth, min_instances, subset, seed=seed + 7919 * part).fit(train)
-        voted = model.transform(summed)
-        if trees == num_trees:
-            return voted.select(*rows.columns, vector_to_array("probability").alias("scores"), "prediction")
+    while True:
         votes = vector_to_array("rawPrediction")
         votes = F.zip_with(votes, "_votes", lambda a, b: a + b) if part else votes
-        summed = cut_lineage(voted.select(*rows.columns, votes.alias("_votes")))
-        per_tree = max(1.0, 1.25 * model.totalNumNodes / trees)  # the next part's size by what this one has
+        summed = cut_lineage(model.transform(summed).select(*rows.columns, votes.alias("_votes")))
         done, part = done + trees, part + 1
+        if done == num_trees:
+            break
+        per_tree = max(1.0, 1.25 * model.totalNumNodes / trees)  # the next part's size by what this one has
+        trees, model = min(num_trees - done, max(1, int(nodes / per_tree))), None
+        model = fitted(trees, part)
     scores = F.transform("_votes", lambda v: v / F.lit(float(num_trees)))
     best = F.array_position("_votes", F.array_max("_votes")) - 1
     return summed.select(*rows.columns, scores.alias("scores"), best.cast("double").alias("prediction"))

@@ -51,10 +51,12 @@ def test_parts_hold_few_nodes_and_add_up(rows, monkeypatch):
     assert np.mean([r["label"] == r["prediction"] for r in got.values()]) > 0.9
 
 
-def test_a_small_forest_is_one_fit_as_before(rows, monkeypatch):
+@pytest.mark.parametrize("nodes, fits", [(None, [5]), (150, [4, 5])])
+def test_a_small_forest_is_one_fit_as_before(rows, monkeypatch, nodes, fits):
+    """Also if only its first trees show that it is small."""
     seen = _fits(monkeypatch)
-    got = ml.forest_scores(rows, rows, 5, 4).orderBy("id").select("prediction", F.col("scores")[0].alias("s")).collect()
-    assert len(seen) == 1
+    got = ml.forest_scores(rows, rows, 5, 4, nodes=nodes).orderBy("id").select("prediction", F.col("scores")[0].alias("s")).collect()
+    assert [n for n, *_ in seen] == fits
     want = ml.RandomForestClassifier(numTrees=5, maxDepth=4, minInstancesPerNode=2, featureSubsetStrategy="log2", seed=42).fit(rows)
     want = want.transform(rows).orderBy("id").collect()
     assert [(r["prediction"], r["s"]) for r in got] == [(r["prediction"], r["probability"][0]) for r in want]
