@@ -176,12 +176,12 @@ def hard_label_auc(pred: DataFrame, label: str = "label", prediction: str = "pre
 
 def _score_counts(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str]) -> DataFrame:
     """Per group and distinct score ``_v``: positives and negatives with it (``_pos``, ``_neg``), with a
-    smaller one (``_below``) and in all (``_all``). Rows are first counted per distinct score; sums over smaller
-    scores are those of ``order_stats.cumulated``."""
+    smaller one (``_below``) and in all (``_all``). Rows are first counted per distinct score and the counts checkpointed,
+    so that models score each row once; sums over smaller scores are those of ``order_stats.cumulated``."""
     one = F.lit(1).alias("_one")
     d = scored.select(*by, one, score.cast("double").alias("_v"), is_positive.cast("int").alias("_y"))
     per = d.groupBy(*by, "_one", "_v").agg(F.sum("_y").alias("_pos"), F.sum(1 - F.col("_y")).alias("_neg"))
-    return cumulated(per, [*by, "_one"], ["_pos", "_neg"]).drop("_one")
+    return cumulated(cut_lineage(per), [*by, "_one"], ["_pos", "_neg"]).drop("_one")
 
 
 def roc_auc(scored: DataFrame, is_positive: Column, score: Column, by: Sequence[str] = ()) -> DataFrame:

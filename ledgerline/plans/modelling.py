@@ -184,6 +184,7 @@ def ml_ovr_gbt_auc(spark: SparkSession, d: str) -> DataFrame:
 
 def _auc(scored: DataFrame) -> DataFrame:
     """One-vs-rest AUC per class and their mean (class -1)."""
+    scored = cut_lineage(scored.select("label", "scores"))  # the model scores each row once
     stacked = scored.select("label", F.posexplode("scores").alias("cls", "score"))
     per = roc_auc(stacked, F.col("label") == F.col("cls"), F.col("score"), by=["cls"])
     macro = per.agg(F.lit(-1).alias("cls"), F.sum("n_pos").alias("n_pos"), F.sum("n_neg").alias("n_neg"),

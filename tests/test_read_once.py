@@ -41,3 +41,33 @@ def test_comparison_reads_its_topics_once(spark, monkeypatch, counted):
     monkeypatch.setattr(M, "_topics", lambda s, d: (None, None, topics))
     assert M.t12_multimodal_compare(spark, "x").count() == 2
     assert seen.value == 100
+
+
+@pytest.fixture
+def parts(spark, monkeypatch, counted):
+    """Training and test rows of three classes whose features are counted as they are computed, apart for both."""
+    seen, of = counted
+    frame = spark.createDataFrame([(float(i % 3), [float(i % 3 + i % 7), float(i % 11)], i % 5 == 0) for i in range(150)], "label double, f array<double>, is_test boolean")
+    frame = frame.repartition(2)
+
+    def rows(test, count):
+        return frame.filter(F.col("is_test") == test).select("label", M.array_to_vector(of("array<double>")("f") if count else F.col("f")).alias("features"))
+
+    def use(count_train, count_test):
+        monkeypatch.setattr(M, "_parts", lambda s, d: (rows(False, count_train), rows(True, count_test)))
+
+    return seen, use
+
+
+def test_auc_scores_its_rows_once(spark, parts):
+    seen, use = parts
+    use(False, True)
+    assert {r["cls"]: (r["n_pos"], r["n_neg"]) for r in M.ml_ovr_gbt_auc(spark, "x").collect()} == {0: (10, 20), 1: (10, 20), 2: (10, 20), -1: (30, 60)}
+    assert seen.value == 30
+
+
+def test_report_scores_its_rows_once(spark, parts):
+    seen, use = parts
+    use(False, True)
+    assert M.ml_ovr_gbt_report(spark, "x").filter("cls = 'accuracy'").count() == 2
+    assert seen.value == 30
