@@ -258,14 +258,14 @@ def ml_cv_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Ten metrics over five stratified folds of the boosted model, per fold, with mean and deviation (M4)."""
     train = _parts(spark, d)[0]
     folds = cut_lineage(stratified_folds(train.select("row_id", "label", *FEATURES), "label", ["row_id"], 5, SEED))
-    return score_frame(spark, cross_validate(folds, "fold", 5, lambda rows: _boosted(replace(TUNED, rounds=60), rows)))
+    return score_frame(spark, cross_validate(folds, "fold", 5, lambda rows: _boosted(TUNED, rows)))
 
 
 def ml_kfold_accuracy(spark: SparkSession, d: str) -> DataFrame:
     """Accuracy over five plain shuffled folds of the boosted model (M4)."""
     train = _parts(spark, d)[0]
     folds = cut_lineage(kfold(train.select("row_id", "label", *FEATURES), ["row_id"], 5, SEED))
-    scores = cross_validate(folds, "fold", 5, lambda rows: _boosted(replace(TUNED, rounds=60), rows), lambda p: {"accuracy": accuracy(p)})
+    scores = cross_validate(folds, "fold", 5, lambda rows: _boosted(TUNED, rows), lambda p: {"accuracy": accuracy(p)})
     return score_frame(spark, scores)
 
 
