@@ -457,17 +457,21 @@ def t11_cluster_terms(spark: SparkSession, d: str, k: int = 6, min_token: int =
 
 def t12_multimodal_compare(spark: SparkSession, d: str) -> DataFrame:
     """Logistic regression on document numerics alone vs numerics + topic weights."""
-    docs = _topics(spark, d)[2]
+    # the topic fit leaves cores idle, which the features take
+    docs, split = run_concurrently(spark, [lambda: _topics(spark, d)[2], lambda: _doc_split(spark, d)], 2, "inputs")
     topics = docs.select("doc_id", "topicDistribution")
-    s = cut_lineage(_doc_split(spark, d).join(topics, "doc_id"))  # both models read it
-    rows = []
-    for name, cols in (("numerics", DOC_FEATURES), ("numerics+topics", DOC_FEATURES + ["topicDistribution"])):
+    s = cut_lineage(split.join(topics, "doc_id"))  # both models read it
+
+    def compared(name, cols):
         data = VectorAssembler(inputCols=cols, outputCol="features").transform(s)
         train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
         pred = LogisticRegression(maxIter=100).fit(train).transform(test)
         acc = pred.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("a"),
                        F.count(F.lit(1)).alias("n")).first()
-        rows.append((name, float(acc["a"]) if acc["a"] is not None else None, int(acc["n"])))
+        return (name, float(acc["a"]) if acc["a"] is not None else None, int(acc["n"]))
+
+    models = (("numerics", DOC_FEATURES), ("numerics+topics", DOC_FEATURES + ["topicDistribution"]))
+    rows = run_concurrently(spark, [lambda m=m: compared(*m) for m in models], 2, "models")
     return spark.createDataFrame(rows, "model string, accuracy double, n_test long")
 
 
